@@ -26,6 +26,7 @@ def fill_calendar(
     step_days: int = 1,
     first: Column | None = None,
     last: Column | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Give every key one row per calendar step, ``value`` being 0 on the steps that were missing.
 
@@ -33,19 +34,25 @@ def fill_calendar(
     next row, so there is one shuffle on ``keys`` and neither a cross join with the calendar nor a
     join back. ``first``/``last`` stretch every series to a common range; without them a series
     keeps its own range.
+
+    The shuffle moves the rows before they multiply, so adaptive coalescing, which goes by bytes,
+    would leave the long calendars to a few tasks; ``partitions`` fixes the number instead.
     """
+    if partitions:
+        df = df.repartition(partitions, *keys)
     ordered = Window.partitionBy(*keys).orderBy(day)
     begins = F.lag(day).over(ordered).isNull()
     start = F.when(begins, first).otherwise(F.col(day)) if first is not None else F.col(day)
     ends = F.date_sub(F.lead(day).over(ordered), step_days)
     until = F.coalesce(ends, last if last is not None else F.col(day))
     step = F.make_dt_interval(days=F.lit(step_days))
+    zero = F.lit(0).cast(df.schema[value].dataType)
     return (
         df.select(*keys, day, value, start.alias("_from"), until.alias("_until"))
         .select(*keys, day, value, F.explode(F.sequence("_from", "_until", step)).alias("_step"))
         .select(
             *keys,
             F.col("_step").alias(day),
-            F.when(F.col("_step") == F.col(day), F.col(value)).otherwise(F.lit(0).cast(df.schema[value].dataType)).alias(value),
+            F.when(F.col("_step") == F.col(day), F.col(value)).otherwise(zero).alias(value),
         )
     )

@@ -45,9 +45,14 @@ def boosted_trees(cfg: EngineConfig) -> GBTRegressor:
 
 
 def train_forecast(train: DataFrame, cfg: EngineConfig, regressor: Estimator | None = None) -> PipelineModel:
-    if train.isEmpty():
-        raise ValueError("no training rows: no pair is dense enough before the test window")
-    return Pipeline(stages=[*feature_stages(cfg), regressor or boosted_trees(cfg)]).fit(train)
+    columns = [*cfg.numeric_features, *cfg.categorical_features, TARGET]
+    rows = train.select(*columns).persist()  # every fitting pass reads the same rows
+    try:
+        if rows.isEmpty():
+            raise ValueError("no training rows: no pair is dense enough before the test window")
+        return Pipeline(stages=[*feature_stages(cfg), regressor or boosted_trees(cfg)]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -171,7 +176,7 @@ def model_search(
     seen; score ``leader`` on them afterwards.
     """
     fold_start: date = cfg.test_start - timedelta(days=fold_days)
-    fit_rows = train.where(F.col("snapshot_date") < F.lit(fold_start)).persist()
+    fit_rows = train.where(F.col("snapshot_date") < F.lit(fold_start))
     fold = train.where(F.col("snapshot_date") >= F.lit(fold_start)).persist()
     try:
         models, scores = {}, None
@@ -188,7 +193,6 @@ def model_search(
         # One small row per candidate; kept as values so the board does not retrain or rescore.
         kept = spark.createDataFrame(scores.collect(), scores.schema)
     finally:
-        fit_rows.unpersist()
         fold.unpersist()
     nothing = F.lit(None).cast("double")
     ranked = rank_models(kept, sort_metric)

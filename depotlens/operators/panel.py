@@ -47,7 +47,10 @@ def densify_panel(demand: DataFrame) -> DataFrame:
     """Every observed pair on every day between the first and the last day of any pair; missing demand is 0."""
     first = demand.agg(F.min("snapshot_date")).scalar()
     last = demand.agg(F.max("snapshot_date")).scalar()
-    return fill_calendar(demand, PAIR, "snapshot_date", "units_demanded", first=first, last=last)
+    partitions = int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return fill_calendar(
+        demand, PAIR, "snapshot_date", "units_demanded", first=first, last=last, partitions=partitions
+    )
 
 
 def _fold_stock(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

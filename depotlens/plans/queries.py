@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from depotlens.operators import conform, constraints, features, forecast, marts,
 from depotlens.operators.cleaning import clean_transactions, route_orders
 from depotlens.operators.validation import validate_transactions
 from depotlens.schemas import TABLES
+from depotlens.session import materialize
 from depotlens.sources.sales_log import sales_log
 from depotlens.sources.transactions import stores_table
 from depotlens.sources.upsert import keep_last, merge_rows
@@ -68,9 +70,15 @@ class Workspace:
     def correlation(self) -> DataFrame:
         return marts.cross_store_correlation(self.daily)
 
+    @cached_property
+    def stored_snapshots(self) -> DataFrame:
+        """The panel as a written table, for queries that read it more than once."""
+        return materialize(self.snapshots, "inventory_snapshots")
+
     @property
     def features(self) -> DataFrame:
-        return features.demand_features(features.training_frame(self.snapshots, self.products, self.cfg), self.cfg)
+        frame = features.training_frame(self.stored_snapshots, self.products, self.cfg)
+        return features.demand_features(frame, self.cfg)
 
     @property
     def sales(self) -> DataFrame:
@@ -86,11 +94,9 @@ class Workspace:
 
     def policies(self) -> DataFrame:
         """Both policies on the seasonal baseline forecast, so that the result does not depend on a fitted model."""
-        snapshots = self.snapshots
         test = features.test_rows(self.features, self.cfg)
-        return policy.compare_policies(
-            test, "seasonal_naive_pred", policy.opening_stock(snapshots, self.cfg), self.cfg
-        )
+        opening = policy.opening_stock(self.stored_snapshots, self.cfg)
+        return policy.compare_policies(test, "seasonal_naive_pred", opening, self.cfg)
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -205,7 +211,7 @@ def q_dense_pairs_by_store(spark, sf):
 
 def q_training_frame(spark, sf):
     w = Workspace(spark, sf, "type")
-    return rounded(features.training_frame(w.snapshots, w.products, CFG), "reference_unit_price")
+    return rounded(features.training_frame(w.stored_snapshots, w.products, CFG), "reference_unit_price")
 
 
 def q_demand_features(spark, sf):
@@ -246,8 +252,7 @@ def q_busiest_pair(spark, sf):
 
 
 def _scored(spark, sf):
-    w = Workspace(spark, sf, "type")
-    rows = w.features
+    rows = materialize(Workspace(spark, sf, "type").features, "demand_features")
     train, test = features.train_rows(rows, CFG), features.test_rows(rows, CFG)
     return forecast.predict(forecast.train_forecast(train, CFG), test)
 
@@ -263,8 +268,8 @@ def q_forecast_evaluation(spark, sf):
 
 
 def q_leaderboard(spark, sf):
-    train = features.train_rows(Workspace(spark, sf, "type").features, CFG)
-    return forecast.model_search(train, CFG, RUN_TS).leaderboard
+    rows = materialize(Workspace(spark, sf, "type").features, "demand_features")
+    return forecast.model_search(features.train_rows(rows, CFG), CFG, RUN_TS).leaderboard
 
 
 # -- policies -------------------------------------------------------------------------------------

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,3 +43,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="depotlens-checkpoint-")
     context.setCheckpointDir(local)
     return local
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several consumers read to the shared checkpoint folder and read it back.
+
+    Unlike a cache it survives the loss of executors, and unlike an RDD checkpoint its readers keep
+    column pruning, filter pushdown and known sizes.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
