@@ -93,8 +93,10 @@ class TableStore:
 
     def exists(self, table: Table) -> bool:
         if table.month_of:
-            fs, path = self._fs(f"{self.root}/{table.name}/_SUCCESS")
-            return fs.exists(path)
+            fs, path = self._fs(f"{self.root}/{table.name}")
+            return fs.exists(path) and any(
+                s.getPath().getName().startswith(f"{MONTH}=") for s in fs.listStatus(path)
+            )
         return bool(self._versions(table))
 
     def read(self, table: Table) -> DataFrame:
