@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from depotlens.config import EngineConfig
 from depotlens.functions.statistics import most_frequent, weighted_median
+from depotlens.session import materialize
 
 
 def first_present(name: str) -> Column:
@@ -17,11 +18,12 @@ def first_present(name: str) -> Column:
 def build_products(lines: DataFrame) -> DataFrame:
     """Most frequent description (lowest on ties, NULLs ignored) and median price per product.
 
-    The log is read once and reduced map-side to counts per (product, description, price); both
-    statistics are derived from those counts, so a product with a large share of the lines costs
-    what its distinct values cost.
+    The log is read once and reduced map-side to counts per (product, description, price), which
+    are written; both statistics are derived from those counts, so a product with a large share of
+    the lines costs what its distinct values cost.
     """
     counts = lines.groupBy("stock_code", "description", "unit_price").agg(F.count("*").alias("n"))
+    counts = materialize(counts, "product_counts")
     names = counts.groupBy("stock_code", "description").agg(F.sum("n").alias("n"))
     prices = counts.groupBy("stock_code", "unit_price").agg(F.sum("n").alias("n"))
     described = most_frequent(names, "stock_code", "description", "n")

@@ -10,6 +10,7 @@ from depotlens.config import EngineConfig
 from depotlens.functions.frames import small_side
 from depotlens.functions.statistics import mean_of_present
 from depotlens.operators.panel import PAIR
+from depotlens.session import materialize
 
 
 def select_dense_pairs(snapshots: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -25,13 +26,14 @@ def select_dense_pairs(snapshots: DataFrame, cfg: EngineConfig) -> DataFrame:
 def training_frame(snapshots: DataFrame, products: DataFrame, cfg: EngineConfig) -> DataFrame:
     """The panel rows of the dense pairs with the product's reference price, missing prices filled by the median.
 
-    Prices are attached to the short list of pairs and travel with it, so the panel is joined once.
-    The fill value is weighted by panel rows.
+    Prices are attached to the short list of pairs and travel with it, so the panel is joined once;
+    the list is written, since the frame and the fill value both read it. The fill value is weighted
+    by panel rows.
     """
     pair_rows = cfg.top_n_products * len(cfg.stores)
     pairs = select_dense_pairs(snapshots, cfg).select(*PAIR)
     prices = products.select("stock_code", F.col("reference_unit_price").cast("double").alias("reference_unit_price"))
-    priced = pairs.join(prices, "stock_code", "left")
+    priced = materialize(pairs.join(prices, "stock_code", "left"), "dense_pairs")
     frame = snapshots.select(*PAIR, "snapshot_date", "units_demanded", "stock_on_hand").join(
         small_side(priced, pair_rows, cfg.broadcast_rows), list(PAIR)
     )

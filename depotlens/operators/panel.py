@@ -12,6 +12,7 @@ from pyspark.sql import Window
 
 from depotlens.config import EngineConfig
 from depotlens.functions.frames import fill_calendar, small_side
+from depotlens.session import materialize
 
 PAIR = ("store_id", "stock_code")
 
@@ -33,10 +34,7 @@ def top_products(demand: DataFrame, cfg: EngineConfig, units: str = "units_deman
 
 
 def top_demand(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Daily demand of the top products only.
-
-    ``demand`` feeds both the ranking and the filter, so its shuffle is computed once and reused.
-    """
+    """Daily demand of the top products only."""
     best = top_products(demand, cfg)
     keys = list(PAIR) if cfg.top_n_per_store else ["stock_code"]
     rows = cfg.top_n_products * (len(cfg.stores) if cfg.top_n_per_store else 1)
@@ -97,9 +95,19 @@ def replay_balance(
     return ordered.mapInArrow(_fold_stock, schema)
 
 
+def demand_panel(order_items: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """The dense daily demand of the top products.
+
+    Ranking, calendar bounds and rows all come from the daily demand. It is written once, so the
+    items, and whatever lies below them, are read in one pass instead of three.
+    """
+    demand = materialize(daily_demand(order_items), "daily_demand")
+    return densify_panel(top_demand(demand, cfg))
+
+
 def inventory_snapshots(order_items: DataFrame, cfg: EngineConfig) -> DataFrame:
     """The daily stock of the top products at every store that sold them."""
-    panel = densify_panel(top_demand(daily_demand(order_items), cfg))
+    panel = demand_panel(order_items, cfg)
     replayed = replay_balance(
         panel, PAIR, "snapshot_date", "units_demanded", F.lit(cfg.starting_stock), F.lit(cfg.par_level)
     )

@@ -165,7 +165,7 @@ def q_top_products_per_store(spark, sf):
 
 
 def q_demand_panel(spark, sf):
-    return panel.densify_panel(panel.top_demand(panel.daily_demand(Workspace(spark, sf, "type").items), CFG))
+    return panel.demand_panel(Workspace(spark, sf, "type").items, CFG)
 
 
 def q_inventory_snapshots(spark, sf):
