@@ -23,7 +23,8 @@ def store_of(rule: RoutingRule) -> Column:
     if rule.float_key_compat:
         customer = F.concat(customer, F.lit(".0"))
     slot = md5_mod(F.coalesce(customer, F.col("invoice_no").cast("string")), len(rule.home_stores))
-    home = F.element_at(F.array(*(F.lit(s) for s in rule.home_stores)), slot + 1)
+    # The slot is always in range; the coalesce only tells Catalyst that a store is never NULL.
+    home = F.coalesce(F.element_at(F.array(*map(F.lit, rule.home_stores)), slot + 1), F.lit(rule.fallback_store))
     store = F.when(F.col("country") == rule.home_country, home)
     for target, countries in rule.country_groups:
         store = store.when(F.col("country").isin(*countries), F.lit(target))

@@ -17,6 +17,7 @@ from pyspark.sql import Window
 from depotlens.config import EngineConfig
 from depotlens.functions.frames import small_side
 from depotlens.operators.panel import PAIR
+from depotlens.session import ensure_checkpoint_dir
 
 TARGET = "units_demanded"
 PREDICTION = "predicted_demand"
@@ -45,6 +46,7 @@ def boosted_trees(cfg: EngineConfig) -> GBTRegressor:
 
 
 def train_forecast(train: DataFrame, cfg: EngineConfig, regressor: Estimator | None = None) -> PipelineModel:
+    ensure_checkpoint_dir(train.sparkSession)  # boosting cuts its growing lineage there
     columns = [*cfg.numeric_features, *cfg.categorical_features, TARGET]
     rows = train.select(*columns).persist()  # every fitting pass reads the same rows
     try:
@@ -100,7 +102,9 @@ def run_summary(train: DataFrame, test: DataFrame) -> DataFrame:
         .agg(F.sum("t").alias("train"), F.sum(1 - F.col("t")).alias("test"))
     )
     return per_pair.agg(
-        F.sum("train").alias("train_rows"), F.sum("test").alias("test_rows"), F.count("*").alias("dense_pairs")
+        F.coalesce(F.sum("train"), F.lit(0)).alias("train_rows"),
+        F.coalesce(F.sum("test"), F.lit(0)).alias("test_rows"),
+        F.count("*").alias("dense_pairs"),
     )
 
 

@@ -41,11 +41,12 @@ def top_demand(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
     return demand.join(small_side(best.select(*keys), rows, cfg.broadcast_rows), keys, "left_semi")
 
 
-def densify_panel(demand: DataFrame) -> DataFrame:
+def densify_panel(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Every observed pair on every day between the first and the last day of any pair; missing demand is 0."""
     first = demand.agg(F.min("snapshot_date")).scalar()
     last = demand.agg(F.max("snapshot_date")).scalar()
-    partitions = int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = cfg.top_n_products * len(cfg.stores)
+    partitions = min(pairs, int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return fill_calendar(
         demand, PAIR, "snapshot_date", "units_demanded", first=first, last=last, partitions=partitions
     )
@@ -102,7 +103,7 @@ def demand_panel(order_items: DataFrame, cfg: EngineConfig) -> DataFrame:
     items, and whatever lies below them, are read in one pass instead of three.
     """
     demand = materialize(daily_demand(order_items), "daily_demand")
-    return densify_panel(top_demand(demand, cfg))
+    return densify_panel(top_demand(demand, cfg), cfg)
 
 
 def inventory_snapshots(order_items: DataFrame, cfg: EngineConfig) -> DataFrame:

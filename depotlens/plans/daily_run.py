@@ -21,8 +21,8 @@ from depotlens.operators import conform, constraints, features, forecast, marts,
 from depotlens.operators.cleaning import clean_transactions, route_orders
 from depotlens.operators.validation import VIOLATIONS, ValidationReport, validate_transactions
 from depotlens.schemas import TABLES
-from depotlens.session import build_session
-from depotlens.sources.transactions import load_transactions, stores_table
+from depotlens.session import build_session, drop_materialized
+from depotlens.sources.transactions import export_csv, export_json, load_transactions, stores_table
 from depotlens.sources.upsert import TableStore
 
 log = logging.getLogger(__name__)
@@ -57,6 +57,7 @@ class DailyRun:
             df = df.withColumn("computed_at", F.lit(self.run_ts).cast("timestamp"))
         batch = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema if f.name in df.columns))
         self.loaded[name] = self.store.upsert(table, batch, run_ts=self.run_ts)
+        self.store.drop_old_versions(table)
 
     def _table(self, name: str) -> DataFrame:
         return self.store.read(TABLES[name])
@@ -109,13 +110,11 @@ class DailyRun:
 
     def search(self) -> DataFrame:
         """Model search over the features of this run: leaderboard, saved models and the leader's summary."""
-        schema_rows = self.spark.read.parquet(f"{self.work}/demand_features")
-        train, test = features.train_rows(schema_rows, self.cfg), features.test_rows(schema_rows, self.cfg)
+        featured = self.spark.read.parquet(f"{self.work}/demand_features")
+        train, test = features.train_rows(featured, self.cfg), features.test_rows(featured, self.cfg)
         result = forecast.model_search(train, self.cfg, self.run_ts)
         self._load("automl_leaderboard", result.leaderboard)
         result.save(f"{self.work}/models")
-        from depotlens.sources.transactions import export_csv, export_json
-
         export_csv(test, f"{self.work}/test_frame")
         summary = forecast.leader_summary(result, test)
         export_json(summary, f"{self.work}/leader_summary")
@@ -186,6 +185,7 @@ def main() -> None:
     result = run_pipeline(spark, load_transactions(spark, args.log, args.format), args.root, with_search=args.search)
     log.info("loaded %s", result.loaded)
     log.info("metrics %s, quality %s", result.metrics, result.quality)
+    drop_materialized(spark)
 
 
 if __name__ == "__main__":

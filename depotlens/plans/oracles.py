@@ -335,7 +335,7 @@ QUALIFY row_number() OVER (PARTITION BY store_id ORDER BY sum(quantity) DESC, st
     "seasonal_naive_eval": sql(
         FEATURES,
         """SELECT 'seasonal_naive_dow' AS model_name, round(avg(abs(units_demanded - seasonal_naive_pred)), 6) AS mae,
-  round(sqrt(avg((units_demanded - seasonal_naive_pred) ** 2)), 6) AS rmse FROM test""",
+  round(sqrt(avg((units_demanded - seasonal_naive_pred) ** 2)), 6) AS rmse FROM test GROUP BY 1""",
     ),
     "stacked_predictions": sql(
         FEATURES,
@@ -480,11 +480,11 @@ UNION ALL SELECT 'order_items', 'foreign_key_store_id', count(*) FROM items WHER
     "quality_report": sql(
         (*FEATURES, "orders_built", "daily"),
         """, baseline AS (SELECT avg(abs(units_demanded - seasonal_naive_pred)) AS mae,
-  sqrt(avg((units_demanded - seasonal_naive_pred) ** 2)) AS rmse FROM test),
+  sqrt(avg((units_demanded - seasonal_naive_pred) ** 2)) AS rmse FROM test HAVING count(*) > 0),
 gates(check_name, failures) AS (
   SELECT 'orphan_items', count(*) FROM items WHERE invoice_no NOT IN (SELECT invoice_no FROM orders_built)
   UNION ALL SELECT 'negative_revenue', count(*) FROM daily WHERE revenue < 0
-  UNION ALL SELECT 'missing_models', 1
+  UNION ALL SELECT 'missing_models', 2 - (SELECT count(*) FROM baseline)
   UNION ALL SELECT 'invalid_metrics', count(*) FROM baseline WHERE mae IS NULL OR rmse IS NULL OR mae < 0 OR rmse < 0
 )
 SELECT check_name, failures, CASE WHEN failures > 0 THEN 'failed' ELSE 'passed' END AS status FROM gates

@@ -30,17 +30,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Workspace:
     """The lazily composed frames of one data folder; nothing is read until a query runs."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "part", cfg: EngineConfig = CFG):
-        self.cfg = cfg
-        self.log = sales_log(spark, sf_dir, grain)
-        self.routed = route_orders(clean_transactions(self.log), cfg)
-        self.validation = validate_transactions(self.routed, cfg)
+    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "part", described: bool = False):
+        self.cfg = CFG
+        self.place = (spark, sf_dir, grain)
+        self.log = sales_log(spark, sf_dir, grain, described)
+        self.routed = route_orders(clean_transactions(self.log), CFG)
+        self.validation = validate_transactions(self.routed, CFG)
         self.lines = self.validation.valid
-        self.stores = stores_table(spark, cfg)
+        self.stores = stores_table(spark, CFG)
 
     @property
     def products(self) -> DataFrame:
-        return conform.build_products(self.lines)
+        return conform.build_products(Workspace(*self.place, described=True).lines)
 
     @property
     def orders(self) -> DataFrame:

@@ -41,7 +41,7 @@ class Table:
     foreign_keys: tuple[tuple[str, str], ...] = ()
     not_null: tuple[str, ...] = ()
     defaults: dict[str, Any] = field(default_factory=dict)
-    # Month partitioning needs a date that is part of the key, so an update never moves a row.
+    # Date column whose month is the partition: loads rewrite the touched months, scans by date prune.
     month_of: str | None = None
 
     @property
@@ -76,6 +76,7 @@ TABLES: dict[str, Table] = {
             keys=("invoice_no",),
             foreign_keys=(STORE_FK,),
             not_null=("invoice_no", "store_id", "order_date"),
+            month_of="order_date",
         ),
         Table(
             "order_items",
@@ -85,6 +86,7 @@ TABLES: dict[str, Table] = {
             keys=("invoice_no", "stock_code"),
             foreign_keys=(("invoice_no", "orders"), PRODUCT_FK, STORE_FK),
             not_null=("invoice_no", "stock_code", "store_id", "quantity", "unit_price", "revenue", "order_date"),
+            month_of="order_date",
         ),
         Table(
             "inventory_snapshots",
@@ -109,6 +111,7 @@ TABLES: dict[str, Table] = {
             keys=("store_id", "metric_date"),
             foreign_keys=(STORE_FK,),
             not_null=("store_id", "metric_date"),
+            month_of="metric_date",
         ),
         Table(
             "inventory_analysis",

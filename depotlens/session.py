@@ -52,6 +52,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     column pruning, filter pushdown and known sizes.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/depotlens-{spark.sparkContext.applicationId}"
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Remove what this application materialized; frames that still read it must be finished."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

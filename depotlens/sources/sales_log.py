@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 REGION_COUNTRIES = {"ASIA": "United Kingdom", "EUROPE": "Germany", "AMERICA": "EIRE"}
 
 
-def sales_log(spark: SparkSession, sf_dir: str, grain: str = "part") -> DataFrame:
+def sales_log(spark: SparkSession, sf_dir: str, grain: str = "part", described: bool = True) -> DataFrame:
     """Returned lines play the cancelled invoices; ``grain`` is the product level, ``part`` or ``type``.
 
     The dimension joins run on the order header, before the fact join, so customer attributes are
     attached once per order and not once per line. At part grain the description is the only reason
-    to read ``part``.
+    to join ``part`` to every line; ``described=False`` leaves it NULL and saves that join.
     """
 
     def table(name: str) -> DataFrame:
@@ -41,17 +41,16 @@ def sales_log(spark: SparkSession, sf_dir: str, grain: str = "part") -> DataFram
         (F.col("l_linenumber").cast("bigint") * 100_000 + F.unix_date(F.to_date("l_shipdate"))) * 100
         + F.col("l_quantity").cast("bigint")
     ) * 100_000_000 + (cents * 100).cast("bigint")
-    parts = table("part").select("p_partkey", "p_name", "p_type")
-    lines = (
-        table("lineitem")
-        .join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    )
+    lines = table("lineitem").join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
+    described = described or grain == "type"
+    if described:
+        parts = table("part").select("p_partkey", "p_name", "p_type")
+        lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     product = F.col("p_type") if grain == "type" else F.col("l_partkey").cast("string")
     return lines.select(
         F.concat(cancelled, F.col("l_orderkey").cast("string")).alias("invoice_no"),
         product.alias("stock_code"),
-        F.col("p_name").alias("description"),
+        (F.col("p_name") if described else F.lit(None).cast("string")).alias("description"),
         F.col("l_quantity").cast("int").alias("quantity"),
         (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).alias("invoice_date"),
         cents.cast("decimal(18,4)").alias("unit_price"),

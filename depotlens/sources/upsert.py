@@ -3,8 +3,8 @@
 Spark cannot overwrite files it is reading, so a load stages its batch, writes the merged rows to a
 new place and only then makes them current:
 
-* tables partitioned by the month of a key date rewrite the touched months only (dynamic partition
-  overwrite from a staged copy);
+* tables partitioned by month rewrite the touched months only (dynamic partition overwrite from a
+  staged copy). Months are replaced one by one; a load that was cut off is completed by repeating it;
 * other tables get a new version directory. The current version is the highest one that carries
   the committer's ``_SUCCESS`` marker, so a failed or half-written load is never visible.
 """
@@ -158,25 +158,36 @@ class TableStore:
         merged.write.mode("overwrite").parquet(f"{self.root}/{table.name}/v{number}")
 
     def _merge_months(self, table: Table, staged: DataFrame, defaults: dict[str, Any], staging: str) -> None:
-        month = F.trunc(table.month_of, "month")
+        """Rewrite the months the batch falls in, and those that hold its keys now if a key can change month."""
+        if table.month_of not in staged.columns:
+            raise ValueError(f"{table.name}: a batch needs {table.month_of}, which places its rows")
+        month = F.trunc(F.col(table.month_of).cast("date"), "month").alias(MONTH)
         path = f"{self.root}/{table.name}"
-        current = self.read(table)
+        # One row per calendar month, so these lists are bounded by the calendar.
+        touched = {r[0] for r in staged.select(month).distinct().collect()}
+        current = self.spark.createDataFrame([], table.schema)
         if self.exists(table):
-            # One row per calendar month of the batch, so this list is bounded by the calendar.
-            touched = [r[0] for r in staged.select(month).distinct().collect()]
-            current = self._read_months(table).where(F.col(MONTH).isin(touched)).select(*table.columns)
+            stored = self._read_months(table)
+            if table.month_of not in table.keys:
+                held = stored.join(staged.select(*table.keys), list(table.keys), "left_semi")
+                touched |= {r[0] for r in held.select(MONTH).distinct().collect()}
+            current = stored.where(F.col(MONTH).isin(list(touched))).select(*table.columns)
         merged = merge_rows(current, staged, table.keys, defaults).withColumn(MONTH, month)
         merged.write.parquet(f"{staging}/merged")
         # Written from the staged copy and clustered by month: few files per month, and safe to repeat.
+        result = self.spark.read.schema(merged.schema).parquet(f"{staging}/merged")
         (
-            self.spark.read.schema(merged.schema)
-            .parquet(f"{staging}/merged")
-            .hint("rebalance", MONTH)
+            result.hint("rebalance", MONTH)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(MONTH)
             .parquet(path)
         )
+        if table.month_of not in table.keys:
+            # A month whose last rows moved away gets no new files, so its old ones are removed here.
+            for emptied in touched - {r[0] for r in result.select(MONTH).distinct().collect()}:
+                fs, place = self._fs(f"{path}/{MONTH}={emptied}")
+                fs.delete(place, True)
 
     def drop_old_versions(self, table: Table, keep: int = 2) -> int:
         """Remove superseded versions, leaving the newest ``keep`` for readers that are still open."""

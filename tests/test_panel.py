@@ -86,7 +86,7 @@ def test_published_panel_sizes():
 
 
 def test_densify_has_no_cross_join_and_no_join(spark):
-    plan = densify_panel(panel(spark, {("S", "A"): [1, 2]}))._jdf.queryExecution().executedPlan().toString()
+    plan = densify_panel(panel(spark, {("S", "A"): [1, 2]}), CFG)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Join" not in plan
 
 
