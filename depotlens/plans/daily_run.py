@@ -51,12 +51,12 @@ class DailyRun:
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _load(self, name: str, df: DataFrame) -> None:
+    def _load(self, name: str, df: DataFrame, written: bool = False) -> None:
         table = TABLES[name]
         if "computed_at" in table.columns:
             df = df.withColumn("computed_at", F.lit(self.run_ts).cast("timestamp"))
         batch = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema if f.name in df.columns))
-        self.loaded[name] = self.store.upsert(table, batch, run_ts=self.run_ts)
+        self.loaded[name] = self.store.upsert(table, batch, run_ts=self.run_ts, written=written)
         self.store.drop_old_versions(table)
 
     def _table(self, name: str) -> DataFrame:
@@ -82,7 +82,7 @@ class DailyRun:
         self._load("products", conform.build_products(lines))
         self._load("orders", conform.build_orders(lines))
         items = self._written(conform.build_order_items(lines, self.cfg), "order_items")
-        self._load("order_items", items)
+        self._load("order_items", items, written=True)
         return items
 
     def marts(self) -> None:

@@ -119,18 +119,19 @@ class TableStore:
         on_duplicate: str = "error",
         order_by: Column | None = None,
         run_ts: datetime | None = None,
+        written: bool = False,
     ) -> int:
         """Merge ``batch`` into the stored table and return the number of rows submitted.
 
         ``on_duplicate`` is ``error`` or ``last`` (by ``order_by``) for keys repeated in the batch.
+        ``written`` says that the batch is read from files already, so it is not staged again.
         """
         if on_duplicate == "last" and order_by is None:
             raise ValueError("on_duplicate='last' needs order_by")
         staging = f"{self.root}/staging/{table.name}-{uuid.uuid4().hex}"
         try:
             # The staged copy cuts the lineage: the checks and the merge read files, not the job that made them.
-            batch.write.parquet(f"{staging}/batch")
-            staged = self.spark.read.schema(batch.schema).parquet(f"{staging}/batch")
+            staged = batch if written else self._staged(batch, f"{staging}/batch")
             submitted = staged.count()
             if submitted == 0:
                 return 0
@@ -151,6 +152,10 @@ class TableStore:
             fs, path = self._fs(staging)
             fs.delete(path, True)
 
+    def _staged(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def _merge_version(self, table: Table, staged: DataFrame, defaults: dict[str, Any]) -> None:
         versions = self._versions(table)
         merged = merge_rows(self.read(table), staged, table.keys, defaults)
@@ -166,16 +171,17 @@ class TableStore:
         # One row per calendar month, so these lists are bounded by the calendar.
         touched = {r[0] for r in staged.select(month).distinct().collect()}
         current = self.spark.createDataFrame([], table.schema)
-        if self.exists(table):
+        present = self.exists(table)
+        if present:
             stored = self._read_months(table)
             if table.month_of not in table.keys:
                 held = stored.join(staged.select(*table.keys), list(table.keys), "left_semi")
                 touched |= {r[0] for r in held.select(MONTH).distinct().collect()}
             current = stored.where(F.col(MONTH).isin(list(touched))).select(*table.columns)
         merged = merge_rows(current, staged, table.keys, defaults).withColumn(MONTH, month)
-        merged.write.parquet(f"{staging}/merged")
-        # Written from the staged copy and clustered by month: few files per month, and safe to repeat.
-        result = self.spark.read.schema(merged.schema).parquet(f"{staging}/merged")
+        # Rows of months that are about to be replaced are staged first; a first load has none to protect.
+        result = self._staged(merged, f"{staging}/merged") if present else merged
+        # Clustered by month: few files per month, and a hot month is still split over several tasks.
         (
             result.hint("rebalance", MONTH)
             .write.mode("overwrite")
@@ -183,7 +189,7 @@ class TableStore:
             .partitionBy(MONTH)
             .parquet(path)
         )
-        if table.month_of not in table.keys:
+        if present and table.month_of not in table.keys:
             # A month whose last rows moved away gets no new files, so its old ones are removed here.
             for emptied in touched - {r[0] for r in result.select(MONTH).distinct().collect()}:
                 fs, place = self._fs(f"{path}/{MONTH}={emptied}")

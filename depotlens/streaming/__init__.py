@@ -1,0 +1 @@
+"""Incremental form of the batch load."""
