@@ -69,6 +69,8 @@ class EngineConfig:
     # Panel and stock replay
     top_n_products: int = 150
     top_n_per_store: bool = False
+    # Rank the top products on the days before this date only; the default looks at all days, test days included.
+    top_as_of: date | None = None
     starting_stock: int = 300
     par_level: int = 300
 

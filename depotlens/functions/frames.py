@@ -45,14 +45,12 @@ def fill_calendar(
     start = F.when(begins, first).otherwise(F.col(day)) if first is not None else F.col(day)
     ends = F.date_sub(F.lead(day).over(ordered), step_days)
     until = F.coalesce(ends, last if last is not None else F.col(day))
-    step = F.make_dt_interval(days=F.lit(step_days))
     zero = F.lit(0).cast(df.schema[value].dataType)
+    # Day numbers, not timestamps: the calendar does not depend on the session time zone.
+    offsets = F.sequence(F.lit(0), F.date_diff("_until", "_from"), F.lit(step_days))
+    step = F.date_add("_from", F.col("_offset"))
     return (
         df.select(*keys, day, value, start.alias("_from"), until.alias("_until"))
-        .select(*keys, day, value, F.explode(F.sequence("_from", "_until", step)).alias("_step"))
-        .select(
-            *keys,
-            F.col("_step").alias(day),
-            F.when(F.col("_step") == F.col(day), F.col(value)).otherwise(zero).alias(value),
-        )
+        .select(*keys, day, value, "_from", F.explode(offsets).alias("_offset"))
+        .select(*keys, step.alias(day), F.when(step == F.col(day), F.col(value)).otherwise(zero).alias(value))
     )

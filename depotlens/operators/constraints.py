@@ -81,6 +81,13 @@ def quality_report(
     return counted.select("check_name", "failures", F.coalesce("note", status).alias("status"))
 
 
+def require_rows(**frames: DataFrame) -> None:
+    """Stop a job whose inputs are empty."""
+    empty = [name for name, df in frames.items() if df.isEmpty()]
+    if empty:
+        raise ValueError(f"no rows in {', '.join(empty)}")
+
+
 def missing_names(required: DataFrame, present: DataFrame, column: str) -> DataFrame:
     """Required names that are not present."""
     return required.select(column).distinct().join(present.select(column), column, "left_anti")

@@ -69,8 +69,8 @@ def store_profitability(daily: DataFrame, stores: DataFrame, cfg: EngineConfig)
 
 
 def weekly_store_revenue(daily: DataFrame) -> DataFrame:
-    week = F.to_date(F.date_trunc("week", "metric_date")).alias("week")
-    return daily.groupBy("store_id", week).agg(F.sum("revenue").cast("double").alias("revenue"))
+    monday = F.date_sub("metric_date", F.weekday("metric_date"))
+    return daily.groupBy("store_id", monday.alias("week")).agg(F.sum("revenue").cast("double").alias("revenue"))
 
 
 def cross_store_correlation(daily: DataFrame) -> DataFrame:

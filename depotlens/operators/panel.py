@@ -34,8 +34,9 @@ def top_products(demand: DataFrame, cfg: EngineConfig, units: str = "units_deman
 
 
 def top_demand(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Daily demand of the top products only."""
-    best = top_products(demand, cfg)
+    """Daily demand of the top products only, ranked over all days or over the days before ``top_as_of``."""
+    ranked = demand.where(F.col("snapshot_date") < F.lit(cfg.top_as_of)) if cfg.top_as_of else demand
+    best = top_products(ranked, cfg)
     keys = list(PAIR) if cfg.top_n_per_store else ["stock_code"]
     rows = cfg.top_n_products * (len(cfg.stores) if cfg.top_n_per_store else 1)
     return demand.join(small_side(best.select(*keys), rows, cfg.broadcast_rows), keys, "left_semi")

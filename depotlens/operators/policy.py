@@ -107,6 +107,12 @@ def largest_increases(wide: DataFrame, n: int = 5) -> DataFrame:
     return wide.orderBy(F.desc("stock_change"), *PAIR).limit(n)
 
 
+def with_stored_forecast(test: DataFrame, predictions: DataFrame, model_name: str) -> DataFrame:
+    """Test rows with the stored prediction of one model, joined on pair and day."""
+    chosen = predictions.where(F.col("model_name") == model_name).select(*PAIR, "snapshot_date", "predicted_demand")
+    return test.join(chosen, [*PAIR, "snapshot_date"])
+
+
 def restock_distribution(test: DataFrame, forecast: str, cfg: EngineConfig) -> DataFrame:
     """Distribution of the computed restock levels and the share below the fixed par level."""
     level = F.col("level")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -110,6 +110,23 @@ def headline_figures(sales: DataFrame, performance: DataFrame) -> DataFrame:
     return cards[0].select(revenue, orders, average, cards[1].scalar().alias(profit))
 
 
+# Column titles of the printed reports.
+INVENTORY_TITLES = {
+    "store_name": "Store",
+    "avg_days_of_supply": "Avg days of supply",
+    "total_stockout_events": "Total stockout events",
+    "avg_turnover_ratio": "Avg turnover ratio (annualized)",
+}
+PROFIT_TITLES = {
+    "store_name": "Store",
+    "revenue": "Revenue",
+    "cogs_estimate": "COGS (est.)",
+    "opex_estimate": "Opex (est.)",
+    "profit_estimate": "Profit (est.)",
+    "roi_pct": "ROI %",
+}
+CORRELATION_TITLES = {"store_a": "Store A", "store_b": "Store B", "correlation": "Correlation"}
+
 # -- dashboard ------------------------------------------------------------------------------------
 
 
@@ -125,7 +142,7 @@ def dashboard_totals(daily: DataFrame, stores: DataFrame, names: Sequence[str])
 
 def weekly_revenue(daily: DataFrame, stores: DataFrame) -> DataFrame:
     """Revenue per store and week, labelled by the Sunday that ends it; empty weeks in a store's range are 0."""
-    ends = F.date_add(F.to_date(F.date_trunc("week", "metric_date")), 6)
+    ends = F.date_add("metric_date", 6 - F.weekday("metric_date"))
     weekly = daily.groupBy("store_id", ends.alias("week_end")).agg(
         F.sum("revenue").cast("decimal(28,2)").alias("revenue")
     )
@@ -180,5 +197,14 @@ def correlation_listing(correlation: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
+def relabel(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
+    """The labelled columns in label order, under their report titles."""
+    return df.select(*(F.col(name).alias(title) for name, title in labels.items()))
+
+
+def store_locations(stores: DataFrame) -> DataFrame:
+    return stores.select("name", "region", "country", "lat", "lon").orderBy("name")
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("row_count")).orderBy(F.desc("row_count"), column)

@@ -32,6 +32,7 @@ log = logging.getLogger(__name__)
 class RunResult:
     validation: ValidationReport
     loaded: dict[str, int]
+    mart_rows: dict[str, int]
     metrics: dict[str, dict[str, float]]
     split: dict[str, int]
     policies: dict[str, dict[str, float]]
@@ -85,13 +86,16 @@ class DailyRun:
         self._load("order_items", items, written=True)
         return items
 
-    def marts(self) -> None:
+    def marts(self) -> dict[str, int]:
+        """Compute and load the four marts; returns the rows each table holds afterwards."""
         cfg, stores = self.cfg, self._table("stores")
         self._load("store_daily_metrics", marts.store_daily_metrics(self._table("order_items")))
         self._load("inventory_analysis", marts.inventory_analysis(self._table("inventory_snapshots"), cfg))
         daily = self._table("store_daily_metrics")
         self._load("store_profitability", marts.store_profitability(daily, stores, cfg))
         self._load("cross_store_correlation", marts.cross_store_correlation(daily))
+        names = ("store_daily_metrics", "inventory_analysis", "store_profitability", "cross_store_correlation")
+        return {name: self._table(name).count() for name in names}
 
     def forecast(self) -> dict[str, int]:
         cfg, snapshots = self.cfg, self._table("inventory_snapshots")
@@ -159,9 +163,10 @@ def run_pipeline(
     run = DailyRun(spark, root, cfg or EngineConfig(), run_ts)
     lines, report = run.validate(transactions)
     report.raise_if_invalid(run.cfg.max_invalid_ratio)
+    constraints.require_rows(transactions=lines)
     items = run.conform(lines)
     run._load("inventory_snapshots", panel.inventory_snapshots(items, run.cfg))
-    run.marts()
+    mart_rows = run.marts()
     split = run.forecast()
     if with_search:
         run.search()
@@ -170,7 +175,7 @@ def run_pipeline(
     metrics = {r["model_name"]: {"mae": r["mae"], "rmse": r["rmse"]} for r in run._table("model_evaluation").collect()}
     totals = policy.policy_totals(run._table("reorder_policy_comparison"), run.cfg).collect()
     policies = {r["policy_name"]: {k: v for k, v in r.asDict().items() if k != "policy_name"} for r in totals}
-    return RunResult(report, run.loaded, metrics, split, policies, quality)
+    return RunResult(report, run.loaded, mart_rows, metrics, split, policies, quality)
 
 
 def main() -> None:

@@ -348,6 +348,21 @@ UNION ALL SELECT store_id, stock_code, snapshot_date, 'trailing_week_mean', roun
         """SELECT store_id, stock_code, snapshot_date, units_demanded, round(seasonal_naive_pred, 6) AS seasonal_naive_pred
 FROM test WHERE (store_id, stock_code) = (SELECT (store_id, stock_code) FROM test GROUP BY store_id, stock_code
   ORDER BY sum(units_demanded) DESC, store_id, stock_code LIMIT 1)""",
+    ),
+    "ranked_models": sql(
+        FEATURES,
+        """, scores AS (
+  SELECT 'seasonal_naive_dow' AS model_id, avg(abs(units_demanded - seasonal_naive_pred)) AS mae,
+         sqrt(avg((units_demanded - seasonal_naive_pred) ** 2)) AS rmse FROM test GROUP BY 1
+  UNION ALL SELECT 'trailing_week_mean', avg(abs(units_demanded - rolling_mean_7)),
+         sqrt(avg((units_demanded - rolling_mean_7) ** 2)) FROM test GROUP BY 1)
+SELECT model_id, round(mae, 6) AS mae, round(rmse, 6) AS rmse, row_number() OVER (ORDER BY mae, model_id)::INTEGER AS rank,
+  row_number() OVER (ORDER BY mae, model_id) = 1 AS is_leader FROM scores""",
+    ),
+    "restock_from_predictions": sql(
+        FEATURES,
+        """SELECT store_id, stock_code, snapshot_date, greatest(0, round_even(rolling_mean_7 * 7.0::DOUBLE
+  + 1.65::DOUBLE * coalesce(rolling_std_7, 0) * sqrt(7.0::DOUBLE), 0))::BIGINT AS restock_level FROM test""",
     ),
     "opening_stock": sql(
         TYPE_PANEL,
@@ -440,6 +455,12 @@ FROM spans w JOIN stores USING (store_id) LEFT JOIN ends e ON e.store_id = w.sto
         (*PANEL, "analysis", "stores"),
         """SELECT name AS store_name, round(avg(days_of_supply), 1) AS avg_days_of_supply,
   sum(stockout_days)::BIGINT AS total_stockout_events, round(avg(turnover_ratio), 1) AS avg_turnover_ratio
+FROM analysis JOIN stores USING (store_id) GROUP BY 1""",
+    ),
+    "inventory_health_report": sql(
+        (*PANEL, "analysis", "stores"),
+        """SELECT name AS "Store", round(avg(days_of_supply), 1) AS "Avg days of supply",
+  sum(stockout_days)::BIGINT AS "Total stockout events", round(avg(turnover_ratio), 1) AS "Avg turnover ratio (annualized)"
 FROM analysis JOIN stores USING (store_id) GROUP BY 1""",
     ),
     "worst_stockouts": sql(
@@ -453,6 +474,21 @@ ORDER BY stockout_days DESC, store_id, stock_code LIMIT 10""",
         """SELECT name AS store_name, month, revenue, cogs_estimate, opex_estimate, profit_estimate, roi_pct
 FROM profit JOIN stores USING (store_id) WHERE month = (SELECT max(month) FROM profit)
 ORDER BY profit_estimate DESC, store_name""",
+    ),
+    "profit_report": sql(
+        PROFIT,
+        """SELECT name AS "Store", revenue AS "Revenue", cogs_estimate AS "COGS (est.)", opex_estimate AS "Opex (est.)",
+  profit_estimate AS "Profit (est.)", roi_pct AS "ROI %"
+FROM profit JOIN stores USING (store_id) WHERE month = (SELECT max(month) FROM profit)""",
+    ),
+    "profitability_detail": sql(
+        (*PROFIT, "performance"),
+        "SELECT store_name, month, revenue, cogs_estimate, opex_estimate, profit_estimate, roi_pct FROM performance",
+    ),
+    "correlation_report": sql(
+        (*DAILY, "correlation", "stores"),
+        """SELECT a.name AS "Store A", b.name AS "Store B", round(r, 3) AS "Correlation" FROM correlation
+JOIN stores a ON a.store_id = store_id_a JOIN stores b ON b.store_id = store_id_b""",
     ),
     "correlation_listing": sql(
         (*DAILY, "correlation", "stores"),

@@ -268,6 +268,15 @@ def q_forecast_evaluation(spark, sf):
     return rounded(forecast.evaluate_forecast(forecast.stack_predictions(_scored(spark, sf), names)), "mae", "rmse")
 
 
+def q_ranked_models(spark, sf):
+    """Two baselines ranked by their error."""
+    w = Workspace(spark, sf, "type")
+    names = {CFG.baseline_name: "seasonal_naive_pred", "trailing_week_mean": "rolling_mean_7"}
+    predictions = forecast.stack_predictions(features.test_rows(w.features, CFG), names)
+    scores = forecast.evaluate_forecast(predictions).withColumnRenamed("model_name", "model_id")
+    return rounded(forecast.rank_models(scores), "mae", "rmse")
+
+
 def q_leaderboard(spark, sf):
     rows = materialize(Workspace(spark, sf, "type").features, "demand_features")
     return forecast.model_search(features.train_rows(rows, CFG), CFG, RUN_TS).leaderboard
@@ -311,6 +320,15 @@ def q_restock_distribution(spark, sf):
     return rounded(spread, "mean", "std", "p25", "p50", "p75", "share_below_par")
 
 
+def q_restock_from_predictions(spark, sf):
+    """Restock levels from one model's stored predictions, read back and joined to the test rows."""
+    test = features.test_rows(Workspace(spark, sf, "type").features, CFG)
+    names = {CFG.baseline_name: "seasonal_naive_pred", "trailing_week_mean": "rolling_mean_7"}
+    joined = policy.with_stored_forecast(test, forecast.stack_predictions(test, names), "trailing_week_mean")
+    level = policy.restock_level(F.col("predicted_demand"), F.col("rolling_std_7"), CFG)
+    return joined.select("store_id", "stock_code", "snapshot_date", level.alias("restock_level"))
+
+
 # -- views, measures, dashboard -------------------------------------------------------------------
 
 
@@ -390,6 +408,10 @@ def q_inventory_health_by_store(spark, sf):
     return reporting.inventory_health_by_store(w.analysis, w.stores)
 
 
+def q_inventory_health_report(spark, sf):
+    return reporting.relabel(q_inventory_health_by_store(spark, sf), reporting.INVENTORY_TITLES)
+
+
 def q_worst_stockouts(spark, sf):
     w = Workspace(spark, sf)
     return reporting.worst_stockouts(w.analysis, w.stores)
@@ -404,6 +426,19 @@ def q_profit_ranking(spark, sf):
     return reporting.profit_ranking(w.profitability, w.stores)
 
 
+def q_profit_report(spark, sf):
+    return reporting.relabel(q_profit_ranking(spark, sf), reporting.PROFIT_TITLES)
+
+
+def q_correlation_report(spark, sf):
+    return reporting.relabel(q_correlation_listing(spark, sf), reporting.CORRELATION_TITLES)
+
+
+def q_profitability_detail(spark, sf):
+    columns = ["store_name", "month", "revenue", "cogs_estimate", "opex_estimate", "profit_estimate", "roi_pct"]
+    return Workspace(spark, sf).performance.select(*columns)
+
+
 def q_correlation_listing(spark, sf):
     w = Workspace(spark, sf)
     return reporting.correlation_listing(w.correlation, w.stores)
@@ -500,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "busiest_pair": q_busiest_pair,
     "forecast_predictions": q_forecast_predictions,
     "forecast_evaluation": q_forecast_evaluation,
+    "ranked_models": q_ranked_models,
     "leaderboard": q_leaderboard,
     "opening_stock": q_opening_stock,
     "policy_comparison": q_policy_comparison,
@@ -508,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "policy_change": q_policy_change,
     "policy_largest_increases": q_policy_largest_increases,
     "restock_distribution": q_restock_distribution,
+    "restock_from_predictions": q_restock_from_predictions,
     "sales_summary": q_sales_summary,
     "inventory_summary": q_inventory_summary,
     "store_performance": q_store_performance,
@@ -527,6 +564,10 @@ QUERIES: dict[str, Query] = {
     "profit_months": q_profit_months,
     "profit_ranking": q_profit_ranking,
     "correlation_listing": q_correlation_listing,
+    "inventory_health_report": q_inventory_health_report,
+    "profit_report": q_profit_report,
+    "profitability_detail": q_profitability_detail,
+    "correlation_report": q_correlation_report,
     "orphan_items": q_orphan_items,
     "foreign_key_check": q_foreign_key_check,
     "primary_key_check": q_primary_key_check,

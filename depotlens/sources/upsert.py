@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depotlens.schemas import Table
+from depotlens.schemas import TABLES, Table
 
 MONTH = "key_month"
 
@@ -203,3 +203,8 @@ class TableStore:
             fs.delete(path, True)
         return len(stale)
 
+
+
+def merge_upsert(spark: SparkSession, root: str, table: str, batch: DataFrame, **options: Any) -> int:
+    """Upsert a batch into one of the engine's tables by name; see ``TableStore.upsert``."""
+    return TableStore(spark, root).upsert(TABLES[table], batch, **options)

@@ -33,6 +33,7 @@ def content(spark, root):
 def test_all_tables_are_loaded_and_consistent(spark, root, result):
     store = TableStore(spark, root)
     assert set(result.loaded) == set(TABLES)
+    assert result.mart_rows["store_daily_metrics"] == store.read(TABLES["store_daily_metrics"]).count()
     frames = {n: store.read(t) for n, t in TABLES.items()}
     for name, table in TABLES.items():
         broken = constraint_report(table, frames[name], frames).where("violations > 0").collect()

@@ -98,6 +98,24 @@ def test_top_products_ties_go_to_the_lower_code(spark):
     assert {(r["store_id"], r["stock_code"]) for r in per_store} == {("S", "B"), ("T", "A")}
 
 
+def test_ranking_can_stop_before_the_test_days(spark):
+    rows = items(spark, ("S", "early", day(0), 5), ("S", "late", day(9), 50))
+    cfg = replace(CFG, top_n_products=1)
+    assert {r["stock_code"] for r in inventory_snapshots(rows, cfg).collect()} == {"late"}
+    assert {r["stock_code"] for r in inventory_snapshots(rows, replace(cfg, top_as_of=day(5))).collect()} == {"early"}
+
+
+def test_calendar_does_not_depend_on_the_time_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        df = spark.createDataFrame([("S", START, 1), ("S", day(60), 2)], "k string, d date, v int")
+        got = [r["d"] for r in fill_calendar(df, ["k"], "d", "v").orderBy("d").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [day(i) for i in range(61)]
+
+
 def test_weekly_gaps_inside_a_range_are_zero(spark):
     weeks = [(START, 1), (START + timedelta(days=14), 2)]
     df = spark.createDataFrame([("S", d, v) for d, v in weeks] + [("T", START, 4)], "k string, d date, v int")

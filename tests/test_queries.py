@@ -21,6 +21,8 @@ DENSE = {
     "policy_pivot",
     "policy_totals",
     "quality_report",
+    "ranked_models",
+    "restock_from_predictions",
     "restock_distribution",
     "seasonal_naive_eval",
     "stacked_predictions",
