@@ -25,9 +25,8 @@ def build_products(lines: DataFrame) -> DataFrame:
     counts = lines.groupBy("stock_code", "description", "unit_price").agg(F.count("*").alias("n"))
     counts = materialize(counts, "product_counts")
     names = counts.groupBy("stock_code", "description").agg(F.sum("n").alias("n"))
-    prices = counts.groupBy("stock_code", "unit_price").agg(F.sum("n").alias("n"))
     described = most_frequent(names, "stock_code", "description", "n")
-    priced = weighted_median(prices, "stock_code", "unit_price", "n", "reference_unit_price")
+    priced = weighted_median(counts, "stock_code", "unit_price", "n", "reference_unit_price")
     return described.join(priced, "stock_code").withColumn(
         "reference_unit_price", F.col("reference_unit_price").cast("decimal(20,5)")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -53,24 +53,28 @@ def densify_panel(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
 
-def _fold_stock(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    stock = 0
-    for batch in batches:
-        levels, events = [], []
-        for begins, opening, demand, refill in zip(
-            *(batch.column(name).to_pylist() for name in ("_begins", "_opening", "_demand", "_refill"))
-        ):
-            stock = (opening if begins else stock) - demand
-            event = stock <= 0
-            if event:
-                stock = refill
-            levels.append(stock)
-            events.append(event)
-        kept = batch.drop_columns(["_begins", "_opening", "_demand", "_refill"])
-        yield pa.RecordBatch.from_arrays(
-            [*kept.columns, pa.array(levels, pa.int64()), pa.array(events, pa.bool_())],
-            names=[*kept.schema.names, "stock_on_hand", "restocked"],
-        )
+def _stock_fold() -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The fold as a local function: it travels to the executors by value, so they need no copy of this package."""
+    inputs = ["_begins", "_opening", "_demand", "_refill"]
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stock = 0
+        for batch in batches:
+            levels, events = [], []
+            for begins, opening, demand, refill in zip(*(batch.column(name).to_pylist() for name in inputs)):
+                stock = (opening if begins else stock) - demand
+                event = stock <= 0
+                if event:
+                    stock = refill
+                levels.append(stock)
+                events.append(event)
+            kept = batch.drop_columns(inputs)
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, pa.array(levels, pa.int64()), pa.array(events, pa.bool_())],
+                names=[*kept.schema.names, "stock_on_hand", "restocked"],
+            )
+
+    return fold
 
 
 def replay_balance(
@@ -94,7 +98,7 @@ def replay_balance(
     schema = T.StructType(
         [*df.schema.fields, T.StructField("stock_on_hand", T.LongType()), T.StructField("restocked", T.BooleanType())]
     )
-    return ordered.mapInArrow(_fold_stock, schema)
+    return ordered.mapInArrow(_stock_fold(), schema)
 
 
 def demand_panel(order_items: DataFrame, cfg: EngineConfig) -> DataFrame:
