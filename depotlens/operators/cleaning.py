@@ -10,10 +10,14 @@ from depotlens.functions.hashing import md5_mod
 
 
 def clean_transactions(log: DataFrame) -> DataFrame:
-    """Drop cancelled invoices (upper-case ``C`` prefix) and lines without a positive quantity and price."""
+    """Drop cancelled invoices (upper-case ``C`` prefix) and lines without a positive quantity and price.
+
+    A NULL invoice stays, so that validation counts and quarantines it.
+    """
     invoice = F.col("invoice_no").cast("string")
+    kept = F.coalesce(~invoice.startswith("C"), F.lit(True))
     return log.where(
-        ~invoice.startswith("C") & (F.col("quantity") > 0) & (F.col("unit_price") > 0) & F.col("stock_code").isNotNull()
+        kept & (F.col("quantity") > 0) & (F.col("unit_price") > 0) & F.col("stock_code").isNotNull()
     ).withColumns({"invoice_no": invoice, "stock_code": F.col("stock_code").cast("string")})
 
 

@@ -94,7 +94,7 @@ def policy_pivot(comparison: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def policy_change_summary(wide: DataFrame) -> DataFrame:
-    """Median change of held stock and the share of pairs that hold less."""
+    """Median change of held stock and the share of pairs that hold less; one input row per top product and store."""
     return wide.agg(
         F.count("*").alias("pairs"),
         F.median("stock_change").alias("median_stock_change"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 import logging
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,7 +108,8 @@ class DailyRun:
         predictions = forecast.stack_predictions(scored, names)
         self._load("model_evaluation", forecast.evaluate_forecast(predictions))
         self._load("demand_forecast_predictions", predictions)
-        opening = policy.opening_stock(snapshots, cfg)
+        eve = cfg.test_start - timedelta(days=1)
+        opening = policy.opening_stock(self.store.read(TABLES["inventory_snapshots"], eve, eve), cfg)
         self._load("reorder_policy_comparison", policy.compare_policies(scored, forecast.PREDICTION, opening, cfg))
         return forecast.run_summary(train, test).first().asDict()
 

@@ -14,7 +14,6 @@ SETTINGS = {
     # Split a skewed join side even where that costs one more shuffle above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,12 +99,20 @@ class TableStore:
             )
         return bool(self._versions(table))
 
-    def read(self, table: Table) -> DataFrame:
-        """The current rows; an empty frame with the declared schema before the first load."""
+    def read(self, table: Table, first: date | None = None, last: date | None = None) -> DataFrame:
+        """The current rows; an empty frame with the declared schema before the first load.
+
+        A date range on a month table prunes its partitions, and its rows in the files that remain.
+        """
         if not self.exists(table):
             return self.spark.createDataFrame([], table.schema)
         if table.month_of:
-            return self._read_months(table).select(*table.columns)
+            rows = self._read_months(table)
+            for bound, holds in ((first, Column.__ge__), (last, Column.__le__)):
+                if bound:
+                    month = holds(F.col(MONTH), F.lit(bound.replace(day=1)))
+                    rows = rows.where(month & holds(F.col(table.month_of).cast("date"), F.lit(bound)))
+            return rows.select(*table.columns)
         return self.spark.read.schema(table.schema).parquet(f"{self.root}/{table.name}/v{self._versions(table)[-1]}")
 
     def _read_months(self, table: Table) -> DataFrame:

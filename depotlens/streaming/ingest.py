@@ -8,6 +8,8 @@ rebuilt from all of its lines and not from the new ones alone.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from depotlens.config import EngineConfig
@@ -15,6 +17,7 @@ from depotlens.operators import conform
 from depotlens.operators.cleaning import clean_transactions, route_orders
 from depotlens.operators.validation import validate_transactions
 from depotlens.schemas import TABLES, TRANSACTIONS
+from depotlens.session import materialize
 from depotlens.sources.upsert import TableStore
 
 
@@ -34,14 +37,24 @@ class OrderIngest:
         place = f"{self.lines}/batch={batch_id}"
         lines.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(place)
         fresh = self.spark.read.schema(lines.schema).parquet(place)
-        kept = self.spark.read.schema(lines.schema).parquet(f"{self.lines}/batch=*")
-        touched = kept.join(fresh.select("invoice_no").distinct(), "invoice_no", "left_semi")
+        touched = fresh.unionByName(self._earlier_lines(fresh, batch_id))
         for name, frame in (
             ("orders", conform.build_orders(touched)),
             ("order_items", conform.build_order_items(touched, self.cfg)),
         ):
             self.store.upsert(TABLES[name], frame.select(*TABLES[name].columns))
 
+    def _earlier_lines(self, fresh: DataFrame, batch_id: int) -> DataFrame:
+        """Lines of other batches on the same invoices; none, and no scan, if no invoice is known yet."""
+        invoices = fresh.select("invoice_no").distinct()
+        # Written, because the orders it reads are replaced before the items are built from it.
+        known = materialize(invoices.join(self.store.read(TABLES["orders"]), "invoice_no", "left_semi"), "known_invoices")
+        if known.isEmpty():
+            return fresh.limit(0)
+        schema = T.StructType([*fresh.schema.fields, T.StructField("batch", T.LongType())])
+        kept = self.spark.read.schema(schema).parquet(self.lines).where(F.col("batch") != batch_id)
+        return kept.join(known, "invoice_no", "left_semi").select(*fresh.columns)
+
     def run_available(self, checkpoint: str, max_files: int = 1000) -> StreamingQuery:
         """Process what has landed and stop; ``checkpoint`` remembers the files that are done."""
         log = (

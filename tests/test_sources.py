@@ -143,6 +143,18 @@ def test_month_tables_rewrite_touched_months_only(spark, store, tmp_path):
     assert "EqualTo(snapshot_date" in plan
 
 
+def test_a_date_range_prunes_months(spark, store):
+    table = TABLES["inventory_snapshots"]
+    dates = [date(2011, m, d) for m in (9, 10, 11) for d in (1, 15)]
+    store.upsert(table, spark.createDataFrame([("S", "A", d, 1, 299, False, True) for d in dates], table.schema))
+    part = store.read(table, date(2011, 9, 15), date(2011, 10, 14))
+    assert sorted(r["snapshot_date"] for r in part.collect()) == [date(2011, 9, 15), date(2011, 10, 1)]
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :]
+    assert "key_month" in filters[: filters.index("]")]
+    assert store.read(table, last=date(2011, 8, 31)).count() == 0
+
+
 def test_a_key_that_changes_month_leaves_no_old_row(spark, store):
     table = TABLES["orders"]
 

@@ -5,7 +5,7 @@ from frames import line, transactions
 from pyspark.sql import functions as F
 
 from depotlens.config import EngineConfig
-from depotlens.operators.cleaning import route_orders
+from depotlens.operators.cleaning import clean_transactions, route_orders
 from depotlens.operators.validation import Rules, validate, validate_transactions
 
 
@@ -65,6 +65,13 @@ def test_no_rows_is_ratio_zero(spark):
     assert report.is_valid
 
 
+def test_a_missing_invoice_is_quarantined_not_lost(spark):
+    rows = transactions(spark, line(None), line("1"))
+    checked = validate_transactions(route_orders(clean_transactions(rows), EngineConfig()), EngineConfig())
+    assert [r["violations"] for r in checked.quarantined.collect()] == [["invoice_no_not_null"]]
+    assert checked.valid.count() == 1
+
+
 def test_rules_union_per_row_and_split_is_complete(spark):
     rows = transactions(
         spark,
