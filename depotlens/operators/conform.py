@@ -32,14 +32,20 @@ def build_products(lines: DataFrame) -> DataFrame:
     )
 
 
-def build_orders(lines: DataFrame) -> DataFrame:
-    """One header per invoice: first store, customer and country, earliest time."""
-    return lines.groupBy("invoice_no").agg(
+def build_orders(lines: DataFrame, mark_split: bool = False) -> DataFrame:
+    """One header per invoice: first store, customer and country, earliest time.
+
+    ``mark_split`` adds whether the lines of the invoice went to more than one store.
+    """
+    columns = [
         first_present("store_id").alias("store_id"),
         F.min("invoice_date").alias("order_date"),
         first_present("customer_id").cast("string").alias("customer_id"),
         first_present("country").alias("country"),
-    )
+    ]
+    if mark_split:
+        columns.append((F.min("store_id") != F.max("store_id")).alias("is_split"))
+    return lines.groupBy("invoice_no").agg(*columns)
 
 
 def build_order_items(lines: DataFrame, cfg: EngineConfig) -> DataFrame:

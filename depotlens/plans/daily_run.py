@@ -57,7 +57,10 @@ class DailyRun:
         if "computed_at" in table.columns:
             df = df.withColumn("computed_at", F.lit(self.run_ts).cast("timestamp"))
         batch = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema if f.name in df.columns))
-        self.loaded[name] = self.store.upsert(table, batch, run_ts=self.run_ts, written=written)
+        # Every batch of a run is grouped by its key.
+        self.loaded[name] = self.store.upsert(
+            table, batch, on_duplicate="unique", run_ts=self.run_ts, written=written
+        )
         self.store.drop_old_versions(table)
 
     def _table(self, name: str) -> DataFrame:
@@ -78,11 +81,22 @@ class DailyRun:
         return written.where("is_valid").drop("is_valid", VIOLATIONS), report
 
     def conform(self, lines: DataFrame) -> DataFrame:
-        """Load stores, products, orders and items; returns the items of this run."""
+        """Load stores, products, orders and items; returns the items of this run.
+
+        Items are grouped by invoice, product and store but keyed without the store, so only an
+        invoice that was split over stores can repeat a key, and only those are checked.
+        """
         self._load("stores", stores_table(self.spark, self.cfg))
         self._load("products", conform.build_products(lines))
-        self._load("orders", conform.build_orders(lines))
+        headers = self._written(conform.build_orders(lines, mark_split=True), "orders")
+        self._load("orders", headers, written=True)
         items = self._written(conform.build_order_items(lines, self.cfg), "order_items")
+        split = headers.where("is_split").select("invoice_no")
+        if not split.isEmpty():
+            suspects = items.join(split, "invoice_no", "left_semi")
+            repeated = constraints.check_primary_key(suspects, TABLES["order_items"].keys)
+            if not repeated.isEmpty():
+                raise ValueError(f"one product of one invoice at two stores, e.g. {repeated.first().asDict()}")
         self._load("order_items", items, written=True)
         return items
 

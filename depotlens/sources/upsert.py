@@ -131,9 +131,12 @@ class TableStore:
     ) -> int:
         """Merge ``batch`` into the stored table and return the number of rows submitted.
 
-        ``on_duplicate`` is ``error`` or ``last`` (by ``order_by``) for keys repeated in the batch.
+        ``on_duplicate`` is ``error`` or ``last`` (by ``order_by``) for keys repeated in the batch, or
+        ``unique`` for a batch that was grouped by the key, which saves the shuffle that would check it.
         ``written`` says that the batch is read from files already, so it is not staged again.
         """
+        if on_duplicate not in ("error", "last", "unique"):
+            raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
         if on_duplicate == "last" and order_by is None:
             raise ValueError("on_duplicate='last' needs order_by")
         staging = f"{self.root}/staging/{table.name}-{uuid.uuid4().hex}"
@@ -145,7 +148,7 @@ class TableStore:
                 return 0
             if on_duplicate == "last":
                 staged = keep_last(staged, table.keys, order_by)
-            elif not staged.groupBy(*table.keys).count().where("count > 1").isEmpty():
+            elif on_duplicate == "error" and not staged.groupBy(*table.keys).count().where("count > 1").isEmpty():
                 raise ValueError(f"{table.name}: the batch repeats a key of {table.keys}")
             defaults = dict(table.defaults)
             for stamp in ("computed_at", "trained_at"):

@@ -1,10 +1,11 @@
 from dataclasses import replace
 
 import pytest
+from frames import line, transactions
 
 from depotlens.operators.constraints import constraint_report
 from depotlens.operators.panel import panel_overview
-from depotlens.plans.daily_run import run_pipeline
+from depotlens.plans.daily_run import DailyRun, run_pipeline
 from depotlens.plans.queries import CFG, RUN_TS
 from depotlens.schemas import TABLES
 from depotlens.sources.sales_log import sales_log
@@ -56,6 +57,20 @@ def test_a_second_run_changes_nothing(spark, root, result):
     assert content(spark, root) == before
 
 
+def test_one_product_of_one_invoice_at_two_stores_stops_the_run(spark, tmp_path):
+    rows = [line("1", "A", country="EIRE", line_no=1), line("1", "A", country="France", line_no=2)]
+    with pytest.raises(ValueError, match="at two stores"):
+        run_pipeline(spark, transactions(spark, *rows), str(tmp_path), SMALL, RUN_TS)
+
+
+def test_a_split_invoice_of_different_products_is_loaded(spark, tmp_path):
+    rows = [line("1", "A", country="EIRE", line_no=1), line("1", "B", country="France", line_no=2)]
+    run = DailyRun(spark, str(tmp_path), SMALL, RUN_TS)
+    lines, report = run.validate(transactions(spark, *rows))
+    assert report.is_valid and run.conform(lines).count() == 2
+    assert run.store.read(TABLES["orders"]).first()["store_id"] == "DUB"
+
+
 def test_too_many_invalid_rows_stop_the_run(spark, tmp_path):
     with pytest.raises(ValueError, match="validation failed"):
         run_pipeline(spark, sales_log(spark, "/root/testdata/sf0.001"), str(tmp_path), replace(SMALL, max_invalid_ratio=0.001), RUN_TS)
