@@ -28,7 +28,8 @@ def top_products(demand: DataFrame, cfg: EngineConfig, units: str = "units_deman
     if cfg.top_n_per_store:
         totals = demand.groupBy(*PAIR).agg(F.sum(units).alias("units"))
         best = Window.partitionBy("store_id").orderBy(F.desc("units"), "stock_code")
-        return totals.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= cfg.top_n_products).drop("_rank")
+        ranked = totals.withColumn("_rank", F.row_number().over(best))
+        return ranked.where(F.col("_rank") <= cfg.top_n_products).drop("_rank")
     totals = demand.groupBy("stock_code").agg(F.sum(units).alias("units"))
     return totals.orderBy(F.desc("units"), "stock_code").limit(cfg.top_n_products)
 

@@ -181,6 +181,8 @@ class TableStore:
         path = f"{self.root}/{table.name}"
         # One row per calendar month, so these lists are bounded by the calendar.
         touched = {r[0] for r in staged.select(month).distinct().collect()}
+        if None in touched:
+            raise ValueError(f"{table.name}: {table.month_of} is NULL in some rows")
         current = self.spark.createDataFrame([], table.schema)
         present = self.exists(table)
         if present:
@@ -215,7 +217,6 @@ class TableStore:
         return len(stale)
 
 
-
 def merge_upsert(spark: SparkSession, root: str, table: str, batch: DataFrame, **options: Any) -> int:
     """Upsert a batch into one of the engine's tables by name; see ``TableStore.upsert``."""
     return TableStore(spark, root).upsert(TABLES[table], batch, **options)

@@ -13,6 +13,8 @@ from depotlens.operators import features, policy
 
 CFG = EngineConfig(test_start=day(40), numeric_features=("lag_1", "lag_7", "rolling_mean_7", "rolling_std_7", "day_of_week"))
 
+TEST_ROWS = "store_id string, stock_code string, snapshot_date date, units_demanded bigint, f double, rolling_std_7 double"
+
 
 def featured(spark, values, cfg=CFG):
     rows = features.demand_features(panel(spark, {("S", "A"): values}), cfg).orderBy("snapshot_date").collect()
@@ -54,9 +56,10 @@ def test_density_looks_at_training_days_only(spark):
 
 def test_missing_prices_take_the_row_weighted_median(spark):
     snapshots = panel(spark, {("S", s): [1] * 45 for s in "ABCD"}).withColumn("stock_on_hand", F.lit(1))
-    products = spark.createDataFrame([("A", Decimal(1)), ("B", Decimal(5)), ("C", Decimal(9))], "stock_code string, reference_unit_price decimal(20,5)")
-    frame = features.training_frame(snapshots, products, CFG)
-    assert {r[0]: r[1] for r in frame.select("stock_code", "reference_unit_price").distinct().collect()} == {"A": 1.0, "B": 5.0, "C": 9.0, "D": 5.0}
+    prices = [("A", Decimal(1)), ("B", Decimal(5)), ("C", Decimal(9))]
+    products = spark.createDataFrame(prices, "stock_code string, reference_unit_price decimal(20,5)")
+    frame = features.training_frame(snapshots, products, CFG).select("stock_code", "reference_unit_price")
+    assert {r[0]: r[1] for r in frame.distinct().collect()} == {"A": 1.0, "B": 5.0, "C": 9.0, "D": 5.0}
 
 
 def test_restock_level(spark):
@@ -90,7 +93,7 @@ def test_policies_match_brute_force(spark):
         expected["S", f"P{i}", CFG.forecast_policy] = walk(values, levels, opening)
         rows += [("S", f"P{i}", day(n), v, p, s) for n, (v, p, s) in enumerate(zip(values, preds, stds))]
     draw.shuffle(rows)
-    test = spark.createDataFrame(rows, "store_id string, stock_code string, snapshot_date date, units_demanded bigint, f double, rolling_std_7 double")
+    test = spark.createDataFrame(rows, TEST_ROWS)
     opening = spark.createDataFrame([("S", f"P{i}", 40 + i) for i in range(0, 12, 2)], "store_id string, stock_code string, opening_stock bigint")
     got = policy.compare_policies(test, "f", opening, CFG)
     assert {(r[0], r[1], r[2]): (r[3], pytest.approx(r[4])) for r in got.collect()} == expected
@@ -106,7 +109,7 @@ def test_policies_match_brute_force(spark):
 
 def test_a_zero_level_triggers_again_without_demand(spark):
     rows = [("S", "A", day(0), 300, 0.0, 0.0), ("S", "A", day(1), 0, 0.0, 0.0)]
-    test = spark.createDataFrame(rows, "store_id string, stock_code string, snapshot_date date, units_demanded bigint, f double, rolling_std_7 double")
+    test = spark.createDataFrame(rows, TEST_ROWS)
     empty = spark.createDataFrame([], "store_id string, stock_code string, opening_stock bigint")
     got = {r["policy_name"]: r["stockout_days"] for r in policy.compare_policies(test, "f", empty, CFG).collect()}
     assert got == {CFG.fixed_policy: 1, CFG.forecast_policy: 2}

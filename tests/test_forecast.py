@@ -1,5 +1,5 @@
 import random
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 import pytest
 from frames import day, panel
@@ -56,7 +56,8 @@ def test_boosted_trees_beat_zero_and_never_predict_below_it(rows):
 def test_predictions_are_clipped(rows):
     falling = LinearRegression(labelCol="minus", featuresCol="features")
     train = features.train_rows(rows, CFG)
-    pipe = Pipeline(stages=[*forecast.feature_stages(CFG), falling]).fit(train.withColumn("minus", -F.col("units_demanded") - 100.0))
+    below = train.withColumn("minus", -F.col("units_demanded") - 100.0)
+    pipe = Pipeline(stages=[*forecast.feature_stages(CFG), falling]).fit(below)
     assert forecast.predict(pipe, train).agg(F.max("predicted_demand")).first()[0] == 0.0
 
 
@@ -90,7 +91,8 @@ def test_rank_ties_go_to_the_lower_id(spark):
 
 
 def test_busiest_pair(rows):
-    totals = rows.groupBy("store_id", "stock_code").agg(F.sum("units_demanded").alias("t")).orderBy(F.desc("t"), "store_id", "stock_code").first()
+    totals = rows.groupBy("store_id", "stock_code").agg(F.sum("units_demanded").alias("t"))
+    totals = totals.orderBy(F.desc("t"), "store_id", "stock_code").first()
     series = forecast.busiest_pair_series(rows, CFG)
     assert {(r[0], r[1]) for r in series.select("store_id", "stock_code").collect()} == {(totals[0], totals[1])}
 

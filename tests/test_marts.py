@@ -8,7 +8,17 @@ from depotlens.operators import marts, reporting
 from depotlens.sources.transactions import stores_table
 
 CFG = EngineConfig()
-ITEM = "invoice_no string, stock_code string, store_id string, quantity bigint, unit_price decimal(18,4), revenue decimal(18,2), order_date date"
+ITEM = (
+    "invoice_no string, stock_code string, store_id string, quantity bigint, "
+    "unit_price decimal(18,4), revenue decimal(18,2), order_date date"
+)
+SNAPSHOT = (
+    "store_id string, stock_code string, snapshot_date date, units_demanded bigint, stock_on_hand bigint, restocked boolean"
+)
+ANALYSIS = (
+    "store_id string, stock_code string, avg_daily_demand double, avg_stock_on_hand double, "
+    "days_of_supply double, stockout_days long, turnover_ratio double"
+)
 DAILY = "store_id string, metric_date date, revenue decimal(28,2), orders_count bigint, units_sold bigint"
 MONDAY = date(2011, 10, 3)
 
@@ -26,7 +36,8 @@ def test_an_invoice_counts_once_per_store_and_day(spark):
 
 
 def test_profit_of_a_losing_month_rounds_from_unrounded_parts(spark):
-    rows = daily(spark, ("FAR", date(2011, 10, 5), "1000.01"), ("FAR", date(2011, 10, 30), "0.01"), ("FAR", date(2011, 11, 1), "50000"))
+    sold = ((date(2011, 10, 5), "1000.01"), (date(2011, 10, 30), "0.01"), (date(2011, 11, 1), "50000"))
+    rows = daily(spark, *(("FAR", d, v) for d, v in sold))
     got = {r["month"]: r for r in marts.store_profitability(rows, stores_table(spark, CFG), CFG).collect()}
     october = got[date(2011, 10, 1)]
     assert october["revenue"] == Decimal("1000.02")
@@ -49,9 +60,9 @@ def test_correlation_matches_and_is_null_when_undefined(spark):
 
 
 def test_inventory_health_guards_zero(spark):
-    schema = "store_id string, stock_code string, snapshot_date date, units_demanded bigint, stock_on_hand bigint, restocked boolean"
-    rows = [("S", "A", MONDAY, 10, 290, False), ("S", "A", MONDAY, 20, 300, True), ("S", "B", MONDAY, 0, 300, False), ("S", "C", MONDAY, 5, 0, True)]
-    got = {r["stock_code"]: r for r in marts.inventory_analysis(spark.createDataFrame(rows, schema), CFG).collect()}
+    rows = [("S", "A", MONDAY, 10, 290, False), ("S", "A", MONDAY, 20, 300, True)]
+    rows += [("S", "B", MONDAY, 0, 300, False), ("S", "C", MONDAY, 5, 0, True)]
+    got = {r["stock_code"]: r for r in marts.inventory_analysis(spark.createDataFrame(rows, SNAPSHOT), CFG).collect()}
     assert got["A"]["days_of_supply"] == pytest.approx(295 / 15)
     assert got["A"]["turnover_ratio"] == pytest.approx(15 * 365 / 295)
     assert got["A"]["stockout_days"] == 1
@@ -62,18 +73,21 @@ def test_inventory_health_guards_zero(spark):
 def test_weekly_chart_labels_sundays(spark):
     rows = daily(spark, ("LON", date(2011, 10, 12), 1), ("LON", date(2011, 10, 30), 2))
     got = {r["week_end"]: r["revenue"] for r in reporting.weekly_revenue(rows, stores_table(spark, CFG)).collect()}
-    assert got == {date(2011, 10, 16): Decimal("1.00"), date(2011, 10, 23): Decimal("0.00"), date(2011, 10, 30): Decimal("2.00")}
+    want = {date(2011, 10, 16): "1.00", date(2011, 10, 23): "0.00", date(2011, 10, 30): "2.00"}
+    assert got == {day: Decimal(value) for day, value in want.items()}
 
 
 def test_measures_are_ratios_of_sums_and_blank_on_zero(spark):
-    rows = spark.createDataFrame([("x", Decimal(10), 1), ("x", Decimal(20), 4), ("y", Decimal(5), 0)], "g string, revenue decimal(10,2), orders_count int")
+    schema = "g string, revenue decimal(10,2), orders_count int"
+    rows = spark.createDataFrame([("x", Decimal(10), 1), ("x", Decimal(20), 4), ("y", Decimal(5), 0)], schema)
     got = {r["g"]: r["avg_order_value"] for r in reporting.measures(rows, ["avg_order_value"], ["g"]).collect()}
     assert got == {"x": 6.0, "y": None}
 
 
 def test_views_keep_products_without_description(spark):
     stores = stores_table(spark, CFG)
-    analysis = spark.createDataFrame([("LON", "A", 1.0, 2.0, 2.0, 0, 9.0), ("XXX", "A", 1.0, 2.0, 2.0, 0, 9.0)], "store_id string, stock_code string, avg_daily_demand double, avg_stock_on_hand double, days_of_supply double, stockout_days long, turnover_ratio double")
+    rows = [("LON", "A", 1.0, 2.0, 2.0, 0, 9.0), ("XXX", "A", 1.0, 2.0, 2.0, 0, 9.0)]
+    analysis = spark.createDataFrame(rows, ANALYSIS)
     products = spark.createDataFrame([], "stock_code string, description string")
     got = reporting.inventory_summary(analysis, stores, products).collect()
     assert [(r["store_name"], r["description"]) for r in got] == [("London Dark Store", None)]

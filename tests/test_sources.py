@@ -41,7 +41,10 @@ def test_csv_log(spark, tmp_path):
 
 
 def test_parquet_and_orc_log_with_its_own_positions(spark, tmp_path):
-    schema = "Invoice string, StockCode string, Description string, Quantity int, InvoiceDate timestamp_ntz, Price decimal(18,4), `Customer ID` bigint, Country string, pos int"
+    schema = (
+        "Invoice string, StockCode string, Description string, Quantity int, InvoiceDate timestamp_ntz, "
+        "Price decimal(18,4), `Customer ID` bigint, Country string, pos int"
+    )
     df = spark.createDataFrame([("1", "A", "x", 1, datetime(2011, 1, 1), Decimal(1), 5, "EIRE", 42)], schema)
     for fmt in ("parquet", "orc"):
         df.write.format(fmt).save(str(tmp_path / fmt))
@@ -166,6 +169,8 @@ def test_a_key_that_changes_month_leaves_no_old_row(spark, store):
     got = {r["invoice_no"]: r["order_date"].month for r in store.read(table).collect()}
     assert got == {"1": 12, "2": 10, "3": 12}
     assert store.read(table).count() == 3
+    with pytest.raises(ValueError, match="is NULL"):
+        store.upsert(table, spark.createDataFrame([("9", "LON", None, None, None)], table.schema))
     with pytest.raises(ValueError, match="places its rows"):
         store.upsert(table, spark.createDataFrame([("1", "MAN")], "invoice_no string, store_id string"))
 

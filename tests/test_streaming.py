@@ -16,8 +16,10 @@ def rows(df):
 
 
 def test_files_that_arrive_later_give_the_same_tables_as_one_batch(spark, tmp_path):
-    first = [line("1", "A", quantity=2, price="3", line_no=1), line("1", "B", line_no=2), line("2", "A", line_no=3), line("C9", line_no=4)]
-    later = [line("1", "A", quantity=5, price="9", line_no=5, on=day(-1)), line("3", "A", line_no=6, on=day(40)), line("4", price="0.0001", line_no=7)]
+    first = [line("1", "A", quantity=2, price="3", line_no=1), line("1", "B", line_no=2)]
+    first += [line("2", "A", line_no=3), line("C9", line_no=4)]
+    later = [line("1", "A", quantity=5, price="9", line_no=5, on=day(-1))]
+    later += [line("3", "A", line_no=6, on=day(40)), line("4", price="0.0001", line_no=7)]
     landing, root = str(tmp_path / "landing"), str(tmp_path / "tables")
     job = OrderIngest(spark, f"{landing}/log", root, CFG)
     for hour, batch in enumerate((first, later)):
