@@ -28,20 +28,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Workspace:
-    """The lazily composed frames of one data folder; nothing is read until a query runs."""
+    """The composed frames of one data folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "part", described: bool = False):
+    Lazy, unless ``shared`` says that several results are built from the lines: then the log is joined,
+    cleaned and validated once and written, instead of once per result. ``described`` asks for product
+    descriptions.
+    """
+
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, grain: str = "part", shared: bool = False, described: bool = False
+    ):
         self.cfg = CFG
-        self.place = (spark, sf_dir, grain)
         self.log = sales_log(spark, sf_dir, grain, described)
         self.routed = route_orders(clean_transactions(self.log), CFG)
         self.validation = validate_transactions(self.routed, CFG)
-        self.lines = self.validation.valid
+        self.lines = materialize(self.validation.valid, "lines") if shared else self.validation.valid
         self.stores = stores_table(spark, CFG)
 
     @property
     def products(self) -> DataFrame:
-        return conform.build_products(Workspace(*self.place, described=True).lines)
+        return conform.build_products(self.lines)
 
     @property
     def orders(self) -> DataFrame:
@@ -55,6 +61,10 @@ class Workspace:
     def daily(self) -> DataFrame:
         return marts.store_daily_metrics(self.items)
 
+    @cached_property
+    def stored_daily(self) -> DataFrame:
+        return materialize(self.daily, "store_daily_metrics")
+
     @property
     def snapshots(self) -> DataFrame:
         return panel.inventory_snapshots(self.items, self.cfg)
@@ -134,7 +144,7 @@ def q_quarantine(spark, sf):
 
 
 def q_products(spark, sf):
-    return _with_products_as_double(Workspace(spark, sf).products)
+    return _with_products_as_double(Workspace(spark, sf, described=True).products)
 
 
 def q_products_by_type(spark, sf):
@@ -211,13 +221,13 @@ def q_dense_pairs_by_store(spark, sf):
 
 
 def q_training_frame(spark, sf):
-    w = Workspace(spark, sf, "type")
+    w = Workspace(spark, sf, "type", shared=True)
     return rounded(features.training_frame(w.stored_snapshots, w.products, CFG), "reference_unit_price")
 
 
 def q_demand_features(spark, sf):
     return rounded(
-        Workspace(spark, sf, "type").features,
+        Workspace(spark, sf, "type", shared=True).features,
         "reference_unit_price",
         "rolling_mean_7",
         "rolling_std_7",
@@ -226,25 +236,25 @@ def q_demand_features(spark, sf):
 
 
 def q_forecast_split(spark, sf):
-    rows = Workspace(spark, sf, "type").features
+    rows = Workspace(spark, sf, "type", shared=True).features
     return forecast.run_summary(features.train_rows(rows, CFG), features.test_rows(rows, CFG))
 
 
 def q_seasonal_naive_eval(spark, sf):
-    test = features.test_rows(Workspace(spark, sf, "type").features, CFG)
+    test = features.test_rows(Workspace(spark, sf, "type", shared=True).features, CFG)
     predictions = forecast.stack_predictions(test, {CFG.baseline_name: "seasonal_naive_pred"})
     return rounded(forecast.evaluate_forecast(predictions), "mae", "rmse")
 
 
 def q_stacked_predictions(spark, sf):
     """The seasonal baseline and the trailing mean as two models' predictions."""
-    test = features.test_rows(Workspace(spark, sf, "type").features, CFG)
+    test = features.test_rows(Workspace(spark, sf, "type", shared=True).features, CFG)
     names = {CFG.baseline_name: "seasonal_naive_pred", "trailing_week_mean": "rolling_mean_7"}
     return rounded(forecast.stack_predictions(test, names), "predicted_demand")
 
 
 def q_busiest_pair(spark, sf):
-    test = features.test_rows(Workspace(spark, sf, "type").features, CFG)
+    test = features.test_rows(Workspace(spark, sf, "type", shared=True).features, CFG)
     series = forecast.busiest_pair_series(test, CFG)
     return rounded(
         series.select("store_id", "stock_code", "snapshot_date", "units_demanded", "seasonal_naive_pred"),
@@ -253,7 +263,7 @@ def q_busiest_pair(spark, sf):
 
 
 def _scored(spark, sf):
-    rows = materialize(Workspace(spark, sf, "type").features, "demand_features")
+    rows = materialize(Workspace(spark, sf, "type", shared=True).features, "demand_features")
     train, test = features.train_rows(rows, CFG), features.test_rows(rows, CFG)
     return forecast.predict(forecast.train_forecast(train, CFG), test)
 
@@ -270,7 +280,7 @@ def q_forecast_evaluation(spark, sf):
 
 def q_ranked_models(spark, sf):
     """Two baselines ranked by their error."""
-    w = Workspace(spark, sf, "type")
+    w = Workspace(spark, sf, "type", shared=True)
     names = {CFG.baseline_name: "seasonal_naive_pred", "trailing_week_mean": "rolling_mean_7"}
     predictions = forecast.stack_predictions(features.test_rows(w.features, CFG), names)
     scores = forecast.evaluate_forecast(predictions).withColumnRenamed("model_name", "model_id")
@@ -278,7 +288,7 @@ def q_ranked_models(spark, sf):
 
 
 def q_leaderboard(spark, sf):
-    rows = materialize(Workspace(spark, sf, "type").features, "demand_features")
+    rows = materialize(Workspace(spark, sf, "type", shared=True).features, "demand_features")
     return forecast.model_search(features.train_rows(rows, CFG), CFG, RUN_TS).leaderboard
 
 
@@ -290,39 +300,38 @@ def q_opening_stock(spark, sf):
 
 
 def q_policy_comparison(spark, sf):
-    return rounded(Workspace(spark, sf, "type").policies(), "avg_stock_on_hand")
+    return rounded(Workspace(spark, sf, "type", shared=True).policies(), "avg_stock_on_hand")
 
 
 def q_policy_totals(spark, sf):
-    return rounded(
-        policy.policy_totals(Workspace(spark, sf, "type").policies(), CFG), "avg_stockout_days", "avg_stock_on_hand"
-    )
+    totals = policy.policy_totals(Workspace(spark, sf, "type", shared=True).policies(), CFG)
+    return rounded(totals, "avg_stockout_days", "avg_stock_on_hand")
 
 
 def q_policy_pivot(spark, sf):
-    wide = policy.policy_pivot(Workspace(spark, sf, "type").policies(), CFG)
+    wide = policy.policy_pivot(Workspace(spark, sf, "type", shared=True).policies(), CFG)
     return rounded(wide, CFG.fixed_policy, CFG.forecast_policy, "stock_change")
 
 
 def q_policy_change(spark, sf):
-    wide = policy.policy_pivot(Workspace(spark, sf, "type").policies(), CFG)
+    wide = policy.policy_pivot(Workspace(spark, sf, "type", shared=True).policies(), CFG)
     return rounded(policy.policy_change_summary(wide), "median_stock_change", "share_lower")
 
 
 def q_policy_largest_increases(spark, sf):
-    wide = policy.policy_pivot(Workspace(spark, sf, "type").policies(), CFG)
+    wide = policy.policy_pivot(Workspace(spark, sf, "type", shared=True).policies(), CFG)
     return rounded(policy.largest_increases(wide), CFG.fixed_policy, CFG.forecast_policy, "stock_change")
 
 
 def q_restock_distribution(spark, sf):
-    test = features.test_rows(Workspace(spark, sf, "type").features, CFG)
+    test = features.test_rows(Workspace(spark, sf, "type", shared=True).features, CFG)
     spread = policy.restock_distribution(test, "seasonal_naive_pred", CFG)
     return rounded(spread, "mean", "std", "p25", "p50", "p75", "share_below_par")
 
 
 def q_restock_from_predictions(spark, sf):
     """Restock levels from one model's stored predictions, read back and joined to the test rows."""
-    test = features.test_rows(Workspace(spark, sf, "type").features, CFG)
+    test = features.test_rows(Workspace(spark, sf, "type", shared=True).features, CFG)
     names = {CFG.baseline_name: "seasonal_naive_pred", "trailing_week_mean": "rolling_mean_7"}
     joined = policy.with_stored_forecast(test, forecast.stack_predictions(test, names), "trailing_week_mean")
     level = policy.restock_level(F.col("predicted_demand"), F.col("rolling_std_7"), CFG)
@@ -337,9 +346,8 @@ def q_sales_summary(spark, sf):
 
 
 def q_inventory_summary(spark, sf):
-    return rounded(
-        Workspace(spark, sf).inventory, "avg_daily_demand", "avg_stock_on_hand", "days_of_supply", "turnover_ratio"
-    )
+    found = Workspace(spark, sf, shared=True, described=True).inventory
+    return rounded(found, "avg_daily_demand", "avg_stock_on_hand", "days_of_supply", "turnover_ratio")
 
 
 def q_store_performance(spark, sf):
@@ -348,7 +356,10 @@ def q_store_performance(spark, sf):
 
 def q_headline_figures(spark, sf):
     w = Workspace(spark, sf)
-    return rounded(reporting.headline_figures(w.sales, w.performance), "avg_order_value")
+    daily = w.stored_daily
+    sales = reporting.sales_summary(daily, w.stores)
+    performance = reporting.store_performance(marts.store_profitability(daily, w.stores, CFG), w.stores)
+    return rounded(reporting.headline_figures(sales, performance), "avg_order_value")
 
 
 def q_sales_measures_by_store(spark, sf):
@@ -368,7 +379,7 @@ def q_revenue_by_day(spark, sf):
 
 def q_inventory_measures_by_store(spark, sf):
     names = ["avg_turnover_ratio", "total_stockout_days", "avg_days_of_supply"]
-    found = reporting.measures(Workspace(spark, sf).inventory, names, ["store_name"])
+    found = reporting.measures(Workspace(spark, sf, shared=True, described=True).inventory, names, ["store_name"])
     return rounded(found, "avg_turnover_ratio", "avg_days_of_supply")
 
 
@@ -383,7 +394,8 @@ def q_revenue_by_month(spark, sf):
 
 def q_inventory_detail(spark, sf):
     columns = ["store_name", "stock_code", "description", "days_of_supply", "turnover_ratio"]
-    return rounded(Workspace(spark, sf).inventory.select(*columns), "days_of_supply", "turnover_ratio")
+    found = Workspace(spark, sf, shared=True, described=True).inventory
+    return rounded(found.select(*columns), "days_of_supply", "turnover_ratio")
 
 
 def q_sliced_revenue(spark, sf):
@@ -423,7 +435,7 @@ def q_profit_months(spark, sf):
 
 def q_profit_ranking(spark, sf):
     w = Workspace(spark, sf)
-    return reporting.profit_ranking(w.profitability, w.stores)
+    return reporting.profit_ranking(marts.store_profitability(w.stored_daily, w.stores, CFG), w.stores)
 
 
 def q_profit_report(spark, sf):
@@ -453,12 +465,12 @@ def _orders_of_paid_lines(w: Workspace) -> DataFrame:
 
 
 def q_orphan_items(spark, sf):
-    w = Workspace(spark, sf)
+    w = Workspace(spark, sf, shared=True)
     return constraints.orphan_items(w.items, _orders_of_paid_lines(w))
 
 
 def q_foreign_key_check(spark, sf):
-    w = Workspace(spark, sf)
+    w = Workspace(spark, sf, shared=True)
     return constraints.check_foreign_key(w.items, _orders_of_paid_lines(w), "invoice_no")
 
 
@@ -468,14 +480,15 @@ def q_primary_key_check(spark, sf):
 
 
 def q_constraint_report(spark, sf):
-    w = Workspace(spark, sf)
+    w = Workspace(spark, sf, shared=True)
     parents = {"orders": _orders_of_paid_lines(w), "stores": w.stores}
-    return constraints.constraint_report(TABLES["order_items"], w.items, parents)
+    items = materialize(w.items, "order_items")
+    return constraints.constraint_report(TABLES["order_items"], items, parents)
 
 
 def q_quality_report(spark, sf):
     """The gates over the baseline's metrics alone, so that the missing-model gate reports a failure."""
-    w = Workspace(spark, sf, "type")
+    w = Workspace(spark, sf, "type", shared=True)
     test = features.test_rows(w.features, CFG)
     evaluation = forecast.evaluate_forecast(forecast.stack_predictions(test, {CFG.baseline_name: "seasonal_naive_pred"}))
     return constraints.quality_report(w.items, w.orders, w.daily, evaluation, CFG)
@@ -483,7 +496,7 @@ def q_quality_report(spark, sf):
 
 def q_upsert_merge(spark, sf):
     """Daily metrics up to 2000 upserted with the recomputed metrics from mid-1999 on."""
-    daily = Workspace(spark, sf).daily
+    daily = Workspace(spark, sf).stored_daily
     old = daily.where(F.col("metric_date") < F.lit(date(2000, 1, 1))).withColumn("orders_count", F.lit(0).cast("bigint"))
     new = daily.where(F.col("metric_date") >= F.lit(date(1999, 7, 1)))
     return merge_rows(old, new, TABLES["store_daily_metrics"].keys)
@@ -491,7 +504,7 @@ def q_upsert_merge(spark, sf):
 
 def q_upsert_partial_columns(spark, sf):
     """The same with a batch that carries one measure only: the other columns keep their value or stay empty."""
-    daily = Workspace(spark, sf).daily
+    daily = Workspace(spark, sf).stored_daily
     old = daily.where(F.col("metric_date") < F.lit(date(2000, 1, 1)))
     new = daily.where(F.col("metric_date") >= F.lit(date(1999, 7, 1))).select(
         "store_id", "metric_date", (F.col("units_sold") * 2).alias("units_sold")
