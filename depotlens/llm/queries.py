@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from depotlens.llm import packing, token_counts
+from depotlens.llm import packing, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,12 +27,19 @@ def op5_packing(spark, sf_dir):
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op7_substring_dedup(spark, sf_dir):
+    done = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(joined.cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark, sf_dir):
     return token_counts.count_by_section(documents(spark, sf_dir), tokenizer_path())
 
 
 QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
+    "op7_substring_dedup": op7_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
