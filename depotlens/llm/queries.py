@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import packing, substrings, token_counts
+from depotlens.llm import near_duplicates, packing, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_minhash_dedup(spark, sf_dir):
+    found = near_duplicates.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), shingle=2)
+    return found.select("doc_id", F.col("n_shingles"), "component_id", "kept")
+
+
 def op5_packing(spark, sf_dir):
     packed = packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -38,6 +43,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op5_packing": op5_packing,
     "op7_substring_dedup": op7_substring_dedup,
     "op10_token_counts": op10_token_counts,
