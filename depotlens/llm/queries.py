@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import near_duplicates, packing, substrings, token_counts
+from depotlens.llm import mixing, near_duplicates, packing, sharding, substrings, token_counts
+from depotlens.llm.literals import literal_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,14 @@ def op1_minhash_dedup(spark, sf_dir):
     return found.select("doc_id", F.col("n_shingles"), "component_id", "kept")
 
 
+def op2_source_mix(spark, sf_dir):
+    mixed, plan = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    rows = [{"_name": n, "source_size": s, "target": t} for n, s, t in plan.sources]
+    table = F.broadcast(literal_table(spark, rows, "_name string, source_size long, target double"))
+    joined = mixed.join(table, F.col("source").eqNullSafe(F.col("_name")))
+    return joined.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_packing(spark, sf_dir):
     packed = packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -38,15 +47,63 @@ def op7_substring_dedup(spark, sf_dir):
     return done.select("doc_id", "n_words", "n_removed", F.sha2(joined.cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_shards(spark, sf_dir):
+    found = sharding.assign_shards(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_token_counts(spark, sf_dir):
     return token_counts.count_by_section(documents(spark, sf_dir), tokenizer_path())
 
 
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_source_mix": op2_source_mix,
     "op5_packing": op5_packing,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_shards": op9_shards,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+# The mix: shares by weight with caps, then a line of words per source in the order of a seeded hash.
+OP2_SQL = """
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS key
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS words FROM docs GROUP BY source
+), weighed AS (
+  SELECT *, 2.0::DOUBLE * words AS cap,
+         ([5.0, 2.0, 1.0]::DOUBLE[])[1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3] AS weight,
+         1.5::DOUBLE * (SELECT sum(words) FROM sources)::DOUBLE AS total
+  FROM sources
+), ordered AS (
+  SELECT *, row_number() OVER (ORDER BY cap / weight, encode(source) NULLS LAST) AS n,
+         (total - coalesce(sum(cap) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM weighed
+  WINDOW before AS (ORDER BY cap / weight, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), shares AS (
+  SELECT source, words,
+         least(cap, weight * (SELECT arg_min(level, n) FILTER (cap / weight >= level) FROM ordered)) AS target
+  FROM ordered
+), placed AS (
+  SELECT d.doc_id, d.size, s.words, s.target, floor(s.target)::BIGINT AS flow,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+  FROM docs d JOIN shares s ON d.source IS NOT DISTINCT FROM s.source
+)
+SELECT doc_id, size, words AS source_size, target,
+       (greatest(0, least(size, flow - place)) + greatest(0, least(size, flow - place - words)))::BIGINT AS taken
+FROM placed
+"""
+
+ORACLES: dict[str, str] = {"op2_source_mix": OP2_SQL}
