@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import mixing, near_duplicates, packing, sharding, substrings, token_counts
+from depotlens.llm import mixing, near_duplicates, packing, quality, sharding, substrings, token_counts
 from depotlens.llm.literals import literal_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op2_source_mix(spark, sf_dir):
     return joined.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality_rules(spark, sf_dir):
+    judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+    return judged.select("doc_id", *quality.RESULTS)
+
+
 def op5_packing(spark, sf_dir):
     packed = packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -67,6 +72,7 @@ def op10_token_counts(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_source_mix": op2_source_mix,
+    "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_shards": op9_shards,
@@ -106,4 +112,71 @@ SELECT doc_id, size, words AS source_size, target,
 FROM placed
 """
 
-ORACLES: dict[str, str] = {"op2_source_mix": OP2_SQL}
+def _op4_sql() -> str:
+    listed = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in quality.WORD_LISTS.items())
+    known = ", ".join(f"'{k}'" for k in quality.COMMON_WORDS)
+    left, lengths = "text", ["len(text)"]
+    for pattern in quality.CLASSES.values():
+        left = f"regexp_replace({left}, '{pattern}', '', 'g')"
+        lengths.append(f"len({left})")
+    chars = ", ".join([f"{a} - {b}" for a, b in zip(lengths, lengths[1:])] + [lengths[-1]])
+    rules = quality.QualityRules()
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS text,
+         CASE WHEN lang IN ({known}) THEN lang ELSE 'other' END AS grp
+  FROM documents
+), split AS (
+  SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines,
+         CASE grp {listed} END AS listed
+  FROM docs
+), windows AS (
+  SELECT uid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+  FROM (SELECT uid, words, unnest(range(1, len(words) - 1)) AS i FROM split)
+), again AS (
+  SELECT uid, i FROM (SELECT uid, i, count(*) OVER (PARTITION BY uid, w) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT uid, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY uid
+), figures AS (
+  SELECT s.uid, doc_id, grp, len(words)::BIGINT AS n_words,
+         len(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         len(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(c.n, 0)::BIGINT AS n_repeat_words, [{chars}] AS chars,
+         list_append(list_transform(listed, lambda x: len(list_filter(words, lambda w: w = x))),
+                     len(list_filter(words, lambda w: NOT list_contains(listed, w)))) AS common
+  FROM split s LEFT JOIN covered c USING (uid)
+), based AS (
+  SELECT *, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.most_repeated_percent} * n_words AS base_failed,
+         list_sum(chars) >= {rules.char_guard} AS char_speaks, n_words >= {rules.word_guard} AS word_speaks
+  FROM figures
+), bins AS (
+  SELECT uid, grp, base_failed, char_speaks, word_speaks, kind, i, (CASE kind WHEN 0 THEN chars ELSE common END)[i] AS v
+  FROM (SELECT *, unnest(range(1, 1 + CASE kind WHEN 0 THEN len(chars) ELSE len(common) END)) AS i
+        FROM based, (SELECT unnest([0, 1]) AS kind))
+), reference AS (
+  SELECT grp, kind, i, sum(v) AS v FROM bins WHERE NOT base_failed AND char_speaks AND word_speaks GROUP BY ALL
+), shares AS (
+  SELECT b.uid, b.kind, b.v / nullif(sum(b.v) OVER own, 0)::DOUBLE AS p, r.v / nullif(sum(r.v) OVER own, 0)::DOUBLE AS q
+  FROM bins b JOIN reference r USING (grp, kind, i)
+  WINDOW own AS (PARTITION BY b.uid, b.kind)
+), distances AS (
+  SELECT uid, kind, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p * 2 / (p + q)) / 2 ELSE 0 END
+                                       + CASE WHEN q > 0 THEN q * log2(q * 2 / (p + q)) / 2 ELSE 0 END))) AS d
+  FROM shares GROUP BY uid, kind
+), judged AS (
+  SELECT b.*, CASE WHEN char_speaks THEN round(c.d, 6) END AS char_distance,
+         CASE WHEN word_speaks THEN round(w.d, 6) END AS word_distance
+  FROM based b
+  LEFT JOIN distances c ON c.uid = b.uid AND c.kind = 0
+  LEFT JOIN distances w ON w.uid = b.uid AND w.kind = 1
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance, word_distance,
+       NOT base_failed AND coalesce(char_distance, 0) <= {rules.char_distance}
+         AND coalesce(word_distance, 0) <= {rules.word_distance} AS kept
+FROM judged
+"""
+
+
+ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op2_source_mix": OP2_SQL}
