@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import mixing, near_duplicates, packing, quality, sharding, substrings, token_counts
+from depotlens.llm import chat, mixing, near_duplicates, packing, quality, sharding, substrings, token_counts, vectors
 from depotlens.llm.literals import literal_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,12 +46,24 @@ def op5_packing(spark, sf_dir):
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op6_vector_dedup(spark, sf_dir):
+    return vectors.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_substring_dedup(spark, sf_dir):
     done = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     return done.select("doc_id", "n_words", "n_removed", F.sha2(joined.cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_chat_format(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    rows = [{"conv_id": -7, "turn": i, "role": role, "text": said} for i, role in enumerate(("user", "assistant"))]
+    added = literal_table(spark, rows, "conv_id long, turn long, role string, text string")
+    return chat.digest(chat.format_conversations(given.unionByName(added)))
+
+
 def op9_shards(spark, sf_dir):
     found = sharding.assign_shards(documents(spark, sf_dir))
     return found.select(
@@ -74,7 +86,9 @@ QUERIES: dict[str, Query] = {
     "op2_source_mix": op2_source_mix,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
+    "op6_vector_dedup": op6_vector_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_chat_format": op8_chat_format,
     "op9_shards": op9_shards,
     "op10_token_counts": op10_token_counts,
 }
@@ -112,6 +126,52 @@ SELECT doc_id, size, words AS source_size, target,
 FROM placed
 """
 
+OP8_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) t(i, role)
+), sized AS (
+  SELECT *, len(text) + len(regexp_replace(text, '[^\[\]<]+', '', 'g')) AS inside,
+         len(role) + len(regexp_replace(role, '[^\[\]<]+', '', 'g')) AS naming,
+         CASE WHEN role = 'assistant' THEN text ELSE '' END AS learnt
+  FROM turns
+), formatted AS (
+  SELECT *, CASE role WHEN 'user' THEN len('<s>[INST] ') + inside + len(' [/INST]')
+                      WHEN 'assistant' THEN len(' ') + inside + len(' </s>')
+                      ELSE len('<s>[ROLE ] ') + naming + inside + len(' [/ROLE]') END AS size
+  FROM sized
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       sum(len(learnt))::BIGINT AS loss_chars,
+       sha256(string_agg(learnt, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars
+FROM formatted GROUP BY conv_id
+"""
+
+
+OP6_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT row_number() OVER () AS uid, vec_id, embedding::DOUBLE[] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.uid <> b.uid AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+"""
+
+
 def _op4_sql() -> str:
     listed = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in quality.WORD_LISTS.items())
     known = ", ".join(f"'{k}'" for k in quality.COMMON_WORDS)
@@ -179,4 +239,4 @@ FROM judged
 """
 
 
-ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op2_source_mix": OP2_SQL}
+ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op6_vector_dedup": OP6_SQL, "op8_chat_format": OP8_SQL, "op2_source_mix": OP2_SQL}
