@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import chat, mixing, near_duplicates, packing, quality, sharding, substrings, token_counts, vectors
+from depotlens.llm import chat, katz, mixing, near_duplicates, packing, quality, sharding, substrings, token_counts, vectors
 from depotlens.llm.literals import literal_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op2_source_mix(spark, sf_dir):
     return joined.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_katz_scores(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return katz.score_documents(documents(spark, sf_dir), held_out)
+
+
 def op4_quality_rules(spark, sf_dir):
     judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text", "lang"))
     return judged.select("doc_id", *quality.RESULTS)
@@ -84,6 +89,7 @@ def op10_token_counts(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_source_mix": op2_source_mix,
+    "op3_katz_scores": op3_katz_scores,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_vector_dedup": op6_vector_dedup,
