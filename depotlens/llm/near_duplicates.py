@@ -155,9 +155,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     met = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "_text")
     texts = docs.select(text_key().alias("_text"), "text").join(met, "_text").dropDuplicates(["node"])
     full = materialize(shingle_sets(texts, shingle), "sets")
-    links = bucket_links(members, full, percent)
-
-    component = connected_components(links)
+    component = bucket_components(members, full, percent)
     named = classes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = named.join(least, "component").select("_print", F.col("size").alias("n_shingles"), "component_id")
@@ -172,35 +170,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     return out.select(*docs.columns, "n_shingles", smallest.alias("component_id"), kept.alias("kept"))
 
 
-def bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links (a, b) that connect, within every bucket, all that any confirmed pair connects.
+def bucket_components(members: DataFrame, sets: DataFrame, percent: int, few: int = 16) -> DataFrame:
+    """(node, component) over all confirmed links within buckets, without comparing what is connected already.
 
-    ``members``: (key, node, size, members, rank). Rounds compare the members of a bucket with its lowest
-    ranked one, then with about 8, about 64 and all of them, always only across components found so far.
+    ``members``: (key, node, size, members, rank). First every bucket's lowest ranked member is compared with
+    the others. Buckets that then still hold several components go on: small ones compare all their members,
+    larger ones about ``few`` of them with the others, and what is left after that compares all. A bucket is
+    left when it holds one component or all its pairs across components have been compared, so no link that
+    connects anything is lost.
     """
-    spark = members.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    for leaders in (1, 8, 64, None):
-        if leaders == 1:
+    component = None
+    for step in range(3):
+        if component is None:
             part = members.withColumn("comp", F.col("node"))
+            lead = part.groupBy("key").agg(F.min(F.struct("rank", "node", "size", "comp")).alias("l")).select("key", "l.*")
         else:
-            comp = connected_components(links).withColumnRenamed("component", "comp")
-            part = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            left = members.where(F.col("members") > (2 if step == 1 else few))
+            part = left.join(component.withColumnRenamed("component", "comp"), "node", "left")
+            part = part.withColumn("comp", F.coalesce("comp", "node"))
             split = part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
             part = materialize(part.join(split.select("key"), "key", "left_semi"), "open")
             if part.isEmpty():
                 break
-        if leaders == 1:
-            lead = part.groupBy("key").agg(F.min(F.struct("rank", "node", "size", "comp")).alias("l")).select("key", "l.*")
-        elif leaders:
-            # Ranks are spread evenly, so this picks about `leaders` members of each bucket.
+            # Ranks are spread evenly, so about `few` members of a large bucket stand before this place.
             place = (F.col("rank").cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.col("members")
-            lead = part.where(place < F.lit(float(leaders)))
-        else:
-            lead = part
+            lead = part.where((F.col("members") <= few) | (place < F.lit(float(few)))) if step == 1 else part
         lead = lead.select("key", *(F.col(c).alias(f"l_{c}") for c in ("rank", "node", "size", "comp")))
         near = 100 * F.least("size", "l_size") >= percent * F.greatest("size", "l_size")
         met = part.join(lead, "key").where("rank > l_rank and comp <> l_comp").where(near)
         pairs = met.select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct()
-        links = materialize(confirm(pairs, sets, percent).unionByName(links), "confirmed")
-    return links
+        links = confirm(pairs, sets, percent)
+        if component is not None:
+            links = links.unionByName(component.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        component = connected_components(links)
+    return component
