@@ -10,10 +10,9 @@ document, and each of the ``bands`` squared tables is keyed by a pair, one key f
 a table with probability (1 - (1 - s^rows)^bands)^2: 0.9996 at 0.8 with the defaults, over 0.99999 at 0.85.
 
 Documents with equal sets are one class and enter the tables once. Within a table bucket no pairs are listed
-wholesale: the members are first compared with the bucket's smallest one; buckets that then still hold several
-components are compared against a few more members, then more, and at last all, each time only between
-different components. So the components are those of all confirmed links within buckets, while a group of
-thousands of copies costs about one comparison per copy.
+wholesale: the members are first compared with one of them; buckets that then still hold several components
+are settled between components only, in blocks that return one link per component met. So the components are
+those of all confirmed links within buckets, while copies cost a few comparisons each and no pairs are listed.
 
 Null and empty texts have empty sets, are linked with nothing and are kept. Rows with one doc_id and equal
 text are one class, too; a null doc_id takes part, but never names a component unless all its ids are null.
@@ -26,7 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,37 +169,105 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     return out.select(*docs.columns, "n_shingles", smallest.alias("component_id"), kept.alias("kept"))
 
 
-def bucket_components(members: DataFrame, sets: DataFrame, percent: int, few: int = 16) -> DataFrame:
+def bucket_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, component) over all confirmed links within buckets, without comparing what is connected already.
 
-    ``members``: (key, node, size, members, rank). First every bucket's lowest ranked member is compared with
-    the others. Buckets that then still hold several components go on: small ones compare all their members,
-    larger ones about ``few`` of them with the others, and what is left after that compares all. A bucket is
-    left when it holds one component or all its pairs across components have been compared, so no link that
-    connects anything is lost.
+    ``members``: (key, node, size, members, rank). A sample of the buckets goes first, then all: in each, one
+    member of every component is compared with one of the component that holds most of the bucket. Components
+    that still meet in buckets with more than two members are settled by ``family_links``, which misses no link
+    between them. So no link that connects anything is lost.
     """
+    one = F.min(F.struct("rank", "node", "size")).alias("one")
     component = None
     for step in range(3):
         if component is None:
-            part = members.withColumn("comp", F.col("node"))
-            lead = part.groupBy("key").agg(F.min(F.struct("rank", "node", "size", "comp")).alias("l")).select("key", "l.*")
+            # About one table in sixteen: a group of copies meets often enough to grow together cheaply.
+            part = members.where(F.pmod("key", F.lit(16)) == 0).withColumn("comp", F.col("node"))
         else:
-            left = members.where(F.col("members") > (2 if step == 1 else few))
-            part = left.join(component.withColumnRenamed("component", "comp"), "node", "left")
+            part = members.join(component.withColumnRenamed("component", "comp"), "node", "left")
             part = part.withColumn("comp", F.coalesce("comp", "node"))
-            split = part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-            part = materialize(part.join(split.select("key"), "key", "left_semi"), "open")
-            if part.isEmpty():
-                break
-            # Ranks are spread evenly, so about `few` members of a large bucket stand before this place.
-            place = (F.col("rank").cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.col("members")
-            lead = part.where((F.col("members") <= few) | (place < F.lit(float(few)))) if step == 1 else part
-        lead = lead.select("key", *(F.col(c).alias(f"l_{c}") for c in ("rank", "node", "size", "comp")))
-        near = 100 * F.least("size", "l_size") >= percent * F.greatest("size", "l_size")
-        met = part.join(lead, "key").where("rank > l_rank and comp <> l_comp").where(near)
-        pairs = met.select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct()
-        links = confirm(pairs, sets, percent)
+        shares = part.groupBy("key", "comp").agg(F.count("*").alias("n"), F.max("members").alias("members"), one)
+        most = F.max_by(F.struct("one.*", "comp"), F.struct("n", "one.rank")).alias("most")
+        lead = shares.groupBy("key").agg(F.count("*").alias("comps"), most)
+        lead = lead.where("comps > 1").select("key", *(F.col(f"most.{c}").alias(f"l_{c}") for c in ("node", "size", "comp")))
+        met = shares.where(F.col("members") > step).join(lead, "key").where("comp <> l_comp")
+        met = materialize(met.select("comp", "one.node", "one.size", "l_node", "l_size", "l_comp"), "met")
+        if component is not None and met.isEmpty():
+            break
+        if step < 2:
+            near = met.where(_sizes_allow("size", "l_size", percent))
+            pairs = near.select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct()
+            links = confirm(pairs, sets, percent)
+        else:
+            family = connected_components(met.select(F.col("comp").alias("a"), F.col("l_comp").alias("b")))
+            family = family.select(F.col("node").alias("comp"), F.col("component").alias("family"))
+            nodes = part.select("node", "size", "comp").distinct().join(family, "comp")
+            links = family_links(nodes, sets, percent)
         if component is not None:
             links = links.unionByName(component.select(F.col("component").alias("a"), F.col("node").alias("b")))
         component = connected_components(links)
     return component
+
+
+def _sizes_allow(one: str, other: str, percent: int) -> Column:
+    return 100 * F.least(one, other) >= percent * F.greatest(one, other)
+
+
+def family_links(nodes: DataFrame, sets: DataFrame, percent: int, items: int = 1 << 18) -> DataFrame:
+    """Links (a, b) across the components of each family, from (node, size, comp, family).
+
+    A family is what meets in buckets, directly or over others. Nodes outside the family's largest component
+    are compared with all of the family, block by block of about ``items`` shingles, and every node returns one
+    linked partner per component it is linked to: no pairs are listed, and no task holds a family.
+    """
+    groups = nodes.groupBy("family", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    total = groups.groupBy("family").agg(F.sum("words").alias("all"), F.max_by("comp", F.struct("n", "comp")).alias("most"))
+    rest = groups.join(total, "family").where("comp <> most").groupBy("family", "all", "most").agg(F.sum("words").alias("some"))
+    count = lambda c: F.ceil(F.col(c) / F.lit(items)).cast("long")
+    sizes = rest.select("family", "most", count("some").alias("n_i"), count("all").alias("n_j"))
+    placed = nodes.join(sizes, "family").join(sets, "node")
+    spread = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    body = ["family", "node", "comp", "items"]
+    left = placed.where("comp <> most").select(*body, spread("n_i", 1).alias("i"), upto("n_j").alias("j"), F.lit(0).alias("side"))
+    right = placed.select(*body, spread("n_j", 2).alias("j"), upto("n_i").alias("i"), F.lit(1).alias("side"))
+    blocks = left.unionByName(right).groupBy("family", "i", "j")
+    return blocks.applyInArrow(_compare_blocks(percent), "a long, b long")
+
+
+def _compare_blocks(percent: int, width: int = 4096):
+    def compare(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
+        lists = table.column("items").combine_chunks()
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        values = lists.flatten().to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(side)), sizes)
+        one, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        place = np.empty(len(side), dtype=np.int64)
+        place[one], place[other] = np.arange(len(one)), np.arange(len(other))
+        mine = side[owner] == 0
+        both = np.intersect1d(values[mine], values[~mine])
+        at = np.minimum(np.searchsorted(both, values), max(0, len(both) - 1))
+        shared = both[at] == values if len(both) else np.zeros(len(values), dtype=bool)
+        common = np.zeros((len(one), len(other)), dtype=np.float32)
+        for low in range(0, len(both), width):
+            inside = shared & (at >= low) & (at < low + width)
+            x = np.zeros((len(one), width), dtype=np.float32)
+            y = np.zeros((len(other), width), dtype=np.float32)
+            pick = inside & mine
+            x[place[owner[pick]], at[pick] - low] = 1
+            pick = inside & ~mine
+            y[place[owner[pick]], at[pick] - low] = 1
+            common += x @ y.T
+        common = common.astype(np.int64)
+        union = sizes[one][:, None] + sizes[other][None, :] - common
+        linked = (100 * common >= percent * union) & (comp[one][:, None] != comp[other][None, :])
+        row, column = np.nonzero(linked)
+        order = np.lexsort((node[other][column], comp[other][column], row))
+        row, column = row[order], column[order]
+        fresh = np.ones(len(row), dtype=bool)
+        fresh[1:] = (row[1:] != row[:-1]) | (comp[other][column[1:]] != comp[other][column[:-1]])
+        return pa.table({"a": node[one][row[fresh]], "b": node[other][column[fresh]]})
+
+    return compare
