@@ -1,7 +1,7 @@
 """Time the headline queries and one full batch run; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_QUERIES
-(comma-separated subset), BENCH_TREES (boosting rounds of the full run, default 20).
+(comma-separated subset).
 """
 
 from __future__ import annotations
@@ -51,7 +51,6 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    trees = int(os.environ.get("BENCH_TREES", "20"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join([*HEADLINE, "full_run"])).split(",") if n]
     spark = build_session(
         "depotlens-bench",
@@ -71,7 +70,7 @@ def main() -> None:
         if name == "full_run":
             # The same scope as the reference's first full run: log to checked tables, marts, model and policies.
             root = tempfile.mkdtemp(prefix="depotlens-bench-")
-            cfg = replace(CFG, trees=trees, max_invalid_ratio=0.05)
+            cfg = replace(CFG, max_invalid_ratio=0.05)
             run_pipeline(spark, sales_log(spark, sf_dir, "type"), root, cfg, RUN_TS)
         else:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -81,6 +81,8 @@ class EngineConfig:
 
     # Forecast
     test_start: date = date(2011, 10, 15)
+    # The length of the test window; None lets it run to the end of the data, so replays hold every day since.
+    test_days: int | None = 56
     min_density: float = 0.4
     seasonal_weeks: int = 4
     min_seasonal_lags: int = 1
@@ -106,6 +108,3 @@ class EngineConfig:
     max_restock: int | None = None
     fixed_policy: str = "fixed_restock_300"
     forecast_policy: str = "forecast_plus_safety_buffer"
-
-    # A side is hinted for broadcast only if its row bound is known and not above this.
-    broadcast_rows: int = 100_000

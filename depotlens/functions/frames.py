@@ -1,22 +1,14 @@
-"""Join sides with a checked size, and calendars without cross joins."""
+"""Calendars without cross joins."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 
-def small_side(df: DataFrame, row_bound: int, limit: int) -> DataFrame:
-    """Hint a broadcast only when the caller can prove ``row_bound`` and it is within ``limit``.
-
-    Otherwise the frame is returned as it is and the join strategy stays with Catalyst and AQE.
-    """
-    return F.broadcast(df) if row_bound <= limit else df
-
-
 def fill_calendar(
     df: DataFrame,
     keys: Sequence[str],
@@ -27,9 +19,14 @@ def fill_calendar(
     first: Column | None = None,
     last: Column | None = None,
     partitions: int | None = None,
+    carried: Mapping[str, Column] | None = None,
+    own: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Give every key one row per calendar step, ``value`` being 0 on the steps that were missing.
 
+    ``carried`` columns keep the value of the last row before a missing step, and have the given value
+    before a key's first row; ``own`` columns have the given value on every missing step.
+
     ``df`` holds at most one row per key and day. Each row emits its own day and the gap up to the
     next row, so there is one shuffle on ``keys`` and neither a cross join with the calendar nor a
     join back. ``first``/``last`` stretch every series to a common range; without them a series
@@ -49,8 +46,17 @@ def fill_calendar(
     # Day numbers, not timestamps: the calendar does not depend on the session time zone.
     offsets = F.sequence(F.lit(0), F.date_diff("_until", "_from"), F.lit(step_days))
     step = F.date_add("_from", F.col("_offset"))
+    extra = [*(carried or {}), *(own or {})]
+    here = step == F.col(day)
+    filled = {name: F.when(step >= F.col(day), F.col(name)).otherwise(before) for name, before in (carried or {}).items()}
+    filled |= {name: F.when(here, F.col(name)).otherwise(missing) for name, missing in (own or {}).items()}
     return (
-        df.select(*keys, day, value, start.alias("_from"), until.alias("_until"))
-        .select(*keys, day, value, "_from", F.explode(offsets).alias("_offset"))
-        .select(*keys, step.alias(day), F.when(step == F.col(day), F.col(value)).otherwise(zero).alias(value))
+        df.select(*keys, day, value, *extra, start.alias("_from"), until.alias("_until"))
+        .select(*keys, day, value, *extra, "_from", F.explode(offsets).alias("_offset"))
+        .select(
+            *keys,
+            step.alias(day),
+            F.when(here, F.col(value)).otherwise(zero).alias(value),
+            *(column.alias(name) for name, column in filled.items()),
+        )
     )

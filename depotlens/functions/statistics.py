@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from depotlens.session import materialize
-
 
 def pearson(x: Column, y: Column) -> Column:
     """Correlation; NULL for a single row or zero variance, where ``corr`` would divide by zero."""
@@ -34,14 +32,13 @@ def most_frequent(counts: DataFrame, key: str, value: str, weight: str) -> DataF
 
 
 def weighted_median(counts: DataFrame, key: str, value: str, weight: str, output: str, width: int = 100) -> DataFrame:
-    """Exact per-key median of a positive decimal column given as written (key, value, weight) rows.
+    """Exact per-key median of a positive decimal column given as (key, value, weight) rows.
 
     Two bounded passes replace one buffer of all distinct values of a key. Buckets of ``width`` are
     summed and ranked first; then only the values in the one or two buckets that hold the middle
     ranks are. With values up to 100,000 and four decimals a window sees at most 1,000 buckets or
     two buckets of a million values of a key, also when one key holds a large share of the data.
-    The list of middle buckets is written, so that its size is known: it is broadcast while it is
-    small, which leaves the counts unshuffled, and joined by shuffle beyond that.
+    The plan is lazy; both passes start from the same counts, so their shuffle is reused.
     """
     bucketed = counts.withColumn("_bucket", F.floor(F.col(value) / width))
     ranked = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -61,7 +58,7 @@ def weighted_median(counts: DataFrame, key: str, value: str, weight: str, output
         .where((F.col("_before") < F.col("_high")) & (F.col("_upto") >= F.col("_low")))
     )
     place = [key, "_bucket", "_before", "_low", "_high"]
-    near = bucketed.join(materialize(middle.select(*place), "middle_buckets"), [key, "_bucket"])
+    near = bucketed.join(middle.select(*place), [key, "_bucket"])
     values = near.groupBy(*place, value).agg(F.sum(weight).alias("_n"))
     inside = Window.partitionBy(key, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     positions = values.withColumn("_reached", F.col("_before") + F.sum("_n").over(inside))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from depotlens.config import EngineConfig
 from depotlens.functions.statistics import most_frequent, weighted_median
-from depotlens.session import materialize
 
 
 def first_present(name: str) -> Column:
@@ -15,21 +14,26 @@ def first_present(name: str) -> Column:
     return F.min_by(name, F.when(F.col(name).isNotNull(), F.col("line_no")))
 
 
+def product_names(lines: DataFrame) -> DataFrame:
+    """The most frequent description per product: the lowest on ties, NULLs ignored."""
+    counts = lines.groupBy("stock_code", "description").agg(F.count("*").alias("n"))
+    return most_frequent(counts, "stock_code", "description", "n")
+
+
+def product_prices(lines: DataFrame) -> DataFrame:
+    """The median price per product, over counts per (product, price)."""
+    counts = lines.groupBy("stock_code", "unit_price").agg(F.count("*").alias("n"))
+    priced = weighted_median(counts, "stock_code", "unit_price", "n", "reference_unit_price")
+    return priced.withColumn("reference_unit_price", F.col("reference_unit_price").cast("decimal(20,5)"))
+
+
 def build_products(lines: DataFrame) -> DataFrame:
-    """Most frequent description (lowest on ties, NULLs ignored) and median price per product.
+    """Most frequent description and median price per product.
 
-    The log is read once and reduced map-side to counts per (product, description, price), which
-    are written; both statistics are derived from those counts, so a product with a large share of
-    the lines costs what its distinct values cost.
+    Both are derived from map-side counts, so a product with a large share of the lines costs what its
+    distinct values cost. Consumers of one of the two ask for that one alone.
     """
-    counts = lines.groupBy("stock_code", "description", "unit_price").agg(F.count("*").alias("n"))
-    counts = materialize(counts, "product_counts")
-    names = counts.groupBy("stock_code", "description").agg(F.sum("n").alias("n"))
-    described = most_frequent(names, "stock_code", "description", "n")
-    priced = weighted_median(counts, "stock_code", "unit_price", "n", "reference_unit_price")
-    return described.join(priced, "stock_code").withColumn(
-        "reference_unit_price", F.col("reference_unit_price").cast("decimal(20,5)")
-    )
+    return product_names(lines).join(product_prices(lines), "stock_code")
 
 
 def build_orders(lines: DataFrame, mark_split: bool = False) -> DataFrame:

@@ -66,7 +66,11 @@ def quality_report(
         mae_of(cfg.baseline_name).alias("baseline_mae"),
     )
     absent = sum((F.col(f"n{i}") == 0).cast("bigint") for i in range(len(wanted)))
-    beats = F.when(F.col("model_mae") < F.col("baseline_mae"), "model_beats_baseline").otherwise("baseline_not_beaten")
+    beats = (
+        F.when(F.col("model_mae").isNull() | F.col("baseline_mae").isNull(), "not_compared")
+        .when(F.col("model_mae") < F.col("baseline_mae"), "model_beats_baseline")
+        .otherwise("baseline_not_beaten")
+    )
     gates = models.select(
         F.explode(
             F.array(

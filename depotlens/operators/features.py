@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from depotlens.config import EngineConfig
-from depotlens.functions.frames import small_side
 from depotlens.functions.statistics import mean_of_present
 from depotlens.operators.panel import PAIR
-from depotlens.session import materialize
 
 
 def select_dense_pairs(snapshots: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -26,17 +24,13 @@ def select_dense_pairs(snapshots: DataFrame, cfg: EngineConfig) -> DataFrame:
 def training_frame(snapshots: DataFrame, products: DataFrame, cfg: EngineConfig) -> DataFrame:
     """The panel rows of the dense pairs with the product's reference price, missing prices filled by the median.
 
-    Prices are attached to the short list of pairs and travel with it, so the panel is joined once;
-    the list is written, since the frame and the fill value both read it. The fill value is weighted
-    by panel rows.
+    Prices are attached to the short list of pairs and travel with it, so the panel is joined once.
+    The fill value is weighted by panel rows.
     """
-    pair_rows = cfg.top_n_products * len(cfg.stores)
     pairs = select_dense_pairs(snapshots, cfg).select(*PAIR)
     prices = products.select("stock_code", F.col("reference_unit_price").cast("double").alias("reference_unit_price"))
-    priced = materialize(pairs.join(prices, "stock_code", "left"), "dense_pairs")
-    frame = snapshots.select(*PAIR, "snapshot_date", "units_demanded", "stock_on_hand").join(
-        small_side(priced, pair_rows, cfg.broadcast_rows), list(PAIR)
-    )
+    priced = pairs.join(prices, "stock_code", "left")
+    frame = snapshots.select(*PAIR, "snapshot_date", "units_demanded", "stock_on_hand").join(priced, list(PAIR))
     per_price = frame.groupBy("reference_unit_price").agg(F.count("*").alias("n"))
     middle = per_price.agg(F.percentile("reference_unit_price", F.lit(0.5), F.col("n"))).scalar()
     return frame.withColumn("reference_unit_price", F.coalesce("reference_unit_price", middle))
@@ -72,4 +66,8 @@ def train_rows(features: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def test_rows(features: DataFrame, cfg: EngineConfig) -> DataFrame:
-    return features.where(F.col("snapshot_date") >= F.lit(cfg.test_start))
+    """Rows of the test window: from ``test_start`` on, for ``test_days`` days if that is set."""
+    rows = features.where(F.col("snapshot_date") >= F.lit(cfg.test_start))
+    if cfg.test_days is None:
+        return rows
+    return rows.where(F.col("snapshot_date") < F.date_add(F.lit(cfg.test_start), cfg.test_days))

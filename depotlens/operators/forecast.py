@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from depotlens.config import EngineConfig
-from depotlens.functions.frames import small_side
 from depotlens.operators.panel import PAIR
 from depotlens.session import ensure_checkpoint_dir
 
@@ -117,7 +116,7 @@ def busiest_pair_series(scored: DataFrame, cfg: EngineConfig) -> DataFrame:
         .limit(1)
         .select(*PAIR)
     )
-    return scored.join(small_side(busiest, 1, cfg.broadcast_rows), list(PAIR), "left_semi")
+    return scored.join(busiest, list(PAIR), "left_semi")
 
 
 # -- model search ---------------------------------------------------------------------------------

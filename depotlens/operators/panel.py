@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -11,8 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from depotlens.config import EngineConfig
-from depotlens.functions.frames import fill_calendar, small_side
-from depotlens.session import materialize
+from depotlens.functions.frames import fill_calendar
 
 PAIR = ("store_id", "stock_code")
 
@@ -39,21 +38,24 @@ def top_demand(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
     ranked = demand.where(F.col("snapshot_date") < F.lit(cfg.top_as_of)) if cfg.top_as_of else demand
     best = top_products(ranked, cfg)
     keys = list(PAIR) if cfg.top_n_per_store else ["stock_code"]
-    rows = cfg.top_n_products * (len(cfg.stores) if cfg.top_n_per_store else 1)
-    return demand.join(small_side(best.select(*keys), rows, cfg.broadcast_rows), keys, "left_semi")
+    return demand.join(best.select(*keys), keys, "left_semi")
 
 
-def densify_panel(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Every observed pair on every day between the first and the last day of any pair; missing demand is 0."""
+def _filled(demand: DataFrame, **columns: Mapping[str, Column]) -> DataFrame:
+    """One row per pair and day between the first and the last day of any pair; missing demand is 0."""
     first = demand.agg(F.min("snapshot_date")).scalar()
     last = demand.agg(F.max("snapshot_date")).scalar()
-    pairs = cfg.top_n_products * len(cfg.stores)
-    partitions = min(pairs, int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return fill_calendar(
-        demand, PAIR, "snapshot_date", "units_demanded", first=first, last=last, partitions=partitions
+        demand, PAIR, "snapshot_date", "units_demanded", first=first, last=last, partitions=partitions, **columns
     )
 
 
+def densify_panel(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Every observed pair on every day between the first and the last day of any pair; missing demand is 0."""
+    return _filled(demand)
+
+
 def _stock_fold() -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The fold as a local function: it travels to the executors by value, so they need no copy of this package."""
     inputs = ["_begins", "_opening", "_demand", "_refill"]
@@ -102,23 +104,29 @@ def replay_balance(
     return ordered.mapInArrow(_stock_fold(), schema)
 
 
-def demand_panel(order_items: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """The dense daily demand of the top products.
+def demand_panel(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """The dense daily demand of the top products, from daily demand per store and product.
 
-    Ranking, calendar bounds and rows all come from the daily demand. It is written once, so the
-    items, and whatever lies below them, are read in one pass instead of three.
+    Ranking, calendar bounds and rows all come from ``demand``: a caller with large items writes it first.
     """
-    demand = materialize(daily_demand(order_items), "daily_demand")
     return densify_panel(top_demand(demand, cfg), cfg)
 
 
-def inventory_snapshots(order_items: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """The daily stock of the top products at every store that sold them."""
-    panel = demand_panel(order_items, cfg)
+def inventory_snapshots(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """The daily stock of the top products at every store that sold them, from daily demand.
+
+    The stock can change only on a day with demand, so the days with demand are replayed and the stock is
+    carried over the days between; before a pair's first demand it is the opening stock. That needs opening
+    and refill levels above zero, at which a day without demand never restocks.
+    """
+    if cfg.starting_stock <= 0 or cfg.par_level <= 0:
+        raise ValueError("the opening stock and the par level have to be above zero")
+    opening = F.lit(cfg.starting_stock).cast("bigint")
     replayed = replay_balance(
-        panel, PAIR, "snapshot_date", "units_demanded", F.lit(cfg.starting_stock), F.lit(cfg.par_level)
+        top_demand(demand, cfg), PAIR, "snapshot_date", "units_demanded", opening, F.lit(cfg.par_level)
     )
-    return replayed.withColumn("is_synthetic", F.lit(True))
+    panel = _filled(replayed, carried={"stock_on_hand": opening}, own={"restocked": F.lit(False)})
+    return panel.withColumn("is_synthetic", F.lit(True))
 
 
 def panel_overview(snapshots: DataFrame) -> DataFrame:

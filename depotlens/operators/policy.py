@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.config import EngineConfig
-from depotlens.functions.frames import small_side
 from depotlens.operators.panel import PAIR
 
 
@@ -53,11 +52,10 @@ def compare_policies(test: DataFrame, forecast: str, opening: DataFrame, cfg: En
         F.lit(cfg.par_level).cast("bigint").alias("fixed"),
         restock_level(F.col(forecast), F.col("rolling_std_7"), cfg).alias("informed"),
     )
-    pair_rows = cfg.top_n_products * len(cfg.stores)
     series = (
         test.groupBy(*PAIR)
         .agg(F.array_sort(F.collect_list(day)).alias("days"))
-        .join(small_side(opening, pair_rows, cfg.broadcast_rows), list(PAIR), "left")
+        .join(opening, list(PAIR), "left")
     )
     begin = F.coalesce(F.col("opening_stock"), F.lit(cfg.par_level)).cast("bigint")
     outcomes = F.array(
@@ -116,14 +114,15 @@ def with_stored_forecast(test: DataFrame, predictions: DataFrame, model_name: st
 def restock_distribution(test: DataFrame, forecast: str, cfg: EngineConfig) -> DataFrame:
     """Distribution of the computed restock levels and the share below the fixed par level."""
     level = F.col("level")
-    return test.select(restock_level(F.col(forecast), F.col("rolling_std_7"), cfg).alias("level")).agg(
+    quarters = F.percentile(level, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    found = test.select(restock_level(F.col(forecast), F.col("rolling_std_7"), cfg).alias("level")).agg(
         F.count(level).alias("count"),
         F.avg(level).alias("mean"),
         F.stddev_samp(level).alias("std"),
         F.min(level).alias("min"),
-        F.percentile(level, F.lit(0.25)).alias("p25"),
-        F.percentile(level, F.lit(0.5)).alias("p50"),
-        F.percentile(level, F.lit(0.75)).alias("p75"),
+        quarters.alias("q"),
         F.max(level).alias("max"),
         F.avg((level < cfg.par_level).cast("int")).alias("share_below_par"),
     )
+    parts = [F.get("q", F.lit(i)).alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    return found.select("count", "mean", "std", "min", *parts, "max", "share_below_par")

@@ -114,7 +114,7 @@ def headline_figures(sales: DataFrame, performance: DataFrame) -> DataFrame:
 INVENTORY_TITLES = {
     "store_name": "Store",
     "avg_days_of_supply": "Avg days of supply",
-    "total_stockout_events": "Total stockout events",
+    "total_stockout_days": "Total stockout events",
     "avg_turnover_ratio": "Avg turnover ratio (annualized)",
 }
 PROFIT_TITLES = {
@@ -156,7 +156,7 @@ def inventory_health_by_store(analysis: DataFrame, stores: DataFrame) -> DataFra
         .groupBy("store_name")
         .agg(
             F.round(F.avg("days_of_supply"), 1).alias("avg_days_of_supply"),
-            F.sum("stockout_days").alias("total_stockout_events"),
+            F.sum("stockout_days").alias("total_stockout_days"),
             F.round(F.avg("turnover_ratio"), 1).alias("avg_turnover_ratio"),
         )
     )

@@ -179,7 +179,8 @@ def run_pipeline(
     report.raise_if_invalid(run.cfg.max_invalid_ratio)
     constraints.require_rows(transactions=lines)
     items = run.conform(lines)
-    run._load("inventory_snapshots", panel.inventory_snapshots(items, run.cfg))
+    demand = run._written(panel.daily_demand(items), "daily_demand")
+    run._load("inventory_snapshots", panel.inventory_snapshots(demand, run.cfg))
     mart_rows = run.marts()
     split = run.forecast()
     if with_search:

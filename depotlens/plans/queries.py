@@ -7,8 +7,11 @@ from dataclasses import replace
 from datetime import date, datetime, timezone
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from depotlens.config import EngineConfig
 from depotlens.operators import conform, constraints, features, forecast, marts, panel, policy, reporting
@@ -21,18 +24,26 @@ from depotlens.sources.transactions import stores_table
 from depotlens.sources.upsert import keep_last, merge_rows
 
 # The given tables end on 2001-08-01; this date leaves 56 test days.
-CFG = EngineConfig(test_start=date(2001, 6, 7), trees=20)
+CFG = EngineConfig(test_start=date(2001, 6, 7))
 RUN_TS = datetime(2001, 8, 2, tzinfo=timezone.utc)
 
 Query = Callable[[SparkSession, str], DataFrame]
+_MODELS = {CFG.model_name: forecast.PREDICTION, CFG.baseline_name: "seasonal_naive_pred"}
+_FITTED: dict[tuple[str, str], DataFrame] = {}
+
+
+#: The columns of a line that items, orders and products are made of.
+LINE_COLUMNS = (
+    "invoice_no", "stock_code", "store_id", "quantity", "unit_price", "invoice_date", "customer_id", "country", "line_no",
+)
 
 
 class Workspace:
     """The composed frames of one data folder.
 
     Lazy, unless ``shared`` says that several results are built from the lines: then the log is joined,
-    cleaned and validated once and written, instead of once per result. ``described`` asks for product
-    descriptions.
+    cleaned and validated once and its columns that are used are written, instead of once per result.
+    ``described`` asks for product descriptions.
     """
 
     def __init__(
@@ -42,7 +53,10 @@ class Workspace:
         self.log = sales_log(spark, sf_dir, grain, described)
         self.routed = route_orders(clean_transactions(self.log), CFG)
         self.validation = validate_transactions(self.routed, CFG)
-        self.lines = materialize(self.validation.valid, "lines") if shared else self.validation.valid
+        self.lines = self.validation.valid
+        if shared:
+            names = [*LINE_COLUMNS, "description"] if described else LINE_COLUMNS
+            self.lines = materialize(self.lines.select(*names), "lines")
         self.stores = stores_table(spark, CFG)
 
     @property
@@ -65,9 +79,14 @@ class Workspace:
     def stored_daily(self) -> DataFrame:
         return materialize(self.daily, "store_daily_metrics")
 
+    @cached_property
+    def stored_demand(self) -> DataFrame:
+        """Daily demand as a written table: ranking, calendar and panel all read it."""
+        return materialize(panel.daily_demand(self.items), "daily_demand")
+
     @property
     def snapshots(self) -> DataFrame:
-        return panel.inventory_snapshots(self.items, self.cfg)
+        return panel.inventory_snapshots(self.stored_demand, self.cfg)
 
     @property
     def analysis(self) -> DataFrame:
@@ -88,7 +107,7 @@ class Workspace:
 
     @property
     def features(self) -> DataFrame:
-        frame = features.training_frame(self.stored_snapshots, self.products, self.cfg)
+        frame = features.training_frame(self.stored_snapshots, conform.product_prices(self.lines), self.cfg)
         return features.demand_features(frame, self.cfg)
 
     @property
@@ -97,7 +116,7 @@ class Workspace:
 
     @property
     def inventory(self) -> DataFrame:
-        return reporting.inventory_summary(self.analysis, self.stores, self.products)
+        return reporting.inventory_summary(self.analysis, self.stores, conform.product_names(self.lines))
 
     @property
     def performance(self) -> DataFrame:
@@ -171,12 +190,12 @@ def q_top_products(spark, sf):
 
 
 def q_top_products_per_store(spark, sf):
-    cfg = replace(CFG, top_n_per_store=True, top_n_products=20)
+    cfg = replace(CFG, top_n_per_store=True)
     return panel.top_products(Workspace(spark, sf).items, cfg, units="quantity")
 
 
 def q_demand_panel(spark, sf):
-    return panel.demand_panel(Workspace(spark, sf, "type").items, CFG)
+    return panel.demand_panel(Workspace(spark, sf, "type").stored_demand, CFG)
 
 
 def q_inventory_snapshots(spark, sf):
@@ -222,7 +241,7 @@ def q_dense_pairs_by_store(spark, sf):
 
 def q_training_frame(spark, sf):
     w = Workspace(spark, sf, "type", shared=True)
-    return rounded(features.training_frame(w.stored_snapshots, w.products, CFG), "reference_unit_price")
+    return rounded(features.training_frame(w.stored_snapshots, conform.product_prices(w.lines), CFG), "reference_unit_price")
 
 
 def q_demand_features(spark, sf):
@@ -253,29 +272,62 @@ def q_stacked_predictions(spark, sf):
     return rounded(forecast.stack_predictions(test, names), "predicted_demand")
 
 
+def _scored(spark, sf):
+    """The test rows with the model's prediction; one fit per session and folder serves all queries that need it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        rows = materialize(Workspace(spark, sf, "type", shared=True).features, "demand_features")
+        train, test = features.train_rows(rows, CFG), features.test_rows(rows, CFG)
+        _FITTED[key] = materialize(forecast.predict(forecast.train_forecast(train, CFG), test), "scored")
+    return _FITTED[key]
+
+
+def _only(name: str, column: str) -> Column:
+    """The column on the baseline's rows, NULL on the model's, whose figures no other engine can repeat."""
+    return F.when(F.col("model_name") == name, F.round(column, 6)).alias(column)
+
+
 def q_busiest_pair(spark, sf):
-    test = features.test_rows(Workspace(spark, sf, "type", shared=True).features, CFG)
-    series = forecast.busiest_pair_series(test, CFG)
+    """Actual demand, the baseline and whether the model has a usable prediction."""
+    series = forecast.busiest_pair_series(_scored(spark, sf), CFG)
+    usable = F.coalesce(F.col(forecast.PREDICTION) >= 0, F.lit(False)).alias("model_usable")
     return rounded(
-        series.select("store_id", "stock_code", "snapshot_date", "units_demanded", "seasonal_naive_pred"),
+        series.select("store_id", "stock_code", "snapshot_date", "units_demanded", "seasonal_naive_pred", usable),
         "seasonal_naive_pred",
     )
 
 
-def _scored(spark, sf):
-    rows = materialize(Workspace(spark, sf, "type", shared=True).features, "demand_features")
-    train, test = features.train_rows(rows, CFG), features.test_rows(rows, CFG)
-    return forecast.predict(forecast.train_forecast(train, CFG), test)
-
-
 def q_forecast_predictions(spark, sf):
-    names = {CFG.model_name: forecast.PREDICTION, CFG.baseline_name: "seasonal_naive_pred"}
-    return rounded(forecast.stack_predictions(_scored(spark, sf), names), "predicted_demand")
+    """Both models' stored predictions: the baseline's values, and for either whether the value is usable."""
+    stacked = forecast.stack_predictions(_scored(spark, sf), _MODELS)
+    usable = F.coalesce(F.col(forecast.PREDICTION) >= 0, F.lit(False)).alias("usable")
+    kept = _only(CFG.baseline_name, forecast.PREDICTION)
+    return stacked.select("store_id", "stock_code", "snapshot_date", "model_name", "actual_demand", kept, usable)
 
 
 def q_forecast_evaluation(spark, sf):
-    names = {CFG.model_name: forecast.PREDICTION, CFG.baseline_name: "seasonal_naive_pred"}
-    return rounded(forecast.evaluate_forecast(forecast.stack_predictions(_scored(spark, sf), names)), "mae", "rmse")
+    """Both models' errors: the baseline's values, and whether the metrics agree with the rows they stand for."""
+    stacked = forecast.stack_predictions(_scored(spark, sf), _MODELS)
+    gap = F.col("actual_demand") - F.col(forecast.PREDICTION)
+    again = stacked.groupBy("model_name").agg(
+        F.count("*").alias("n"), F.sum(F.abs(gap)).alias("total"), F.sum(gap * gap).alias("squares")
+    )
+    joined = forecast.evaluate_forecast(stacked).join(again, "model_name")
+    agrees = (F.abs(F.col("mae") - F.col("total") / F.col("n")) < 1e-9) & (
+        F.abs(F.col("rmse") - F.sqrt(F.col("squares") / F.col("n"))) < 1e-9
+    )
+    sound = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & agrees
+    return joined.select("model_name", "n", *(_only(CFG.baseline_name, c) for c in ("mae", "rmse")), sound.alias("sound"))
+
+
+def q_one_hot_positions(spark, sf):
+    """The one-hot position of every store, as fitted on the training rows: most rows first, ties by name."""
+    rows = materialize(Workspace(spark, sf, "type", shared=True).features, "demand_features")
+    train = features.train_rows(rows, CFG)
+    stages = Pipeline(stages=forecast.feature_stages(CFG)).fit(train)
+    stores = rows.select(*CFG.numeric_features, *CFG.categorical_features).dropDuplicates(["store_id"])
+    vector = vector_to_array("store_id_vector")
+    return stages.transform(stores).select("store_id", F.array_position(vector, F.lit(1.0)).cast("int").alias("position"))
 
 
 def q_ranked_models(spark, sf):
@@ -288,8 +340,13 @@ def q_ranked_models(spark, sf):
 
 
 def q_leaderboard(spark, sf):
+    """The ranks of the model search, with what holds for any fit: sorted by error, sound metrics, one leader."""
     rows = materialize(Workspace(spark, sf, "type", shared=True).features, "demand_features")
-    return forecast.model_search(features.train_rows(rows, CFG), CFG, RUN_TS).leaderboard
+    board = forecast.model_search(features.train_rows(rows, CFG), CFG, RUN_TS).leaderboard
+    before = F.lag("mae").over(Window.orderBy("rank"))  # one row per candidate
+    ordered = F.coalesce(F.col("mae") >= before, F.lit(True))
+    sound = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & (F.abs(F.col("rmse") ** 2 - F.col("mse")) < 1e-6)
+    return board.select("rank", "is_leader", ordered.alias("ordered"), sound.alias("sound"), "target_column")
 
 
 # -- policies -------------------------------------------------------------------------------------
@@ -329,6 +386,32 @@ def q_restock_distribution(spark, sf):
     return rounded(spread, "mean", "std", "p25", "p50", "p75", "share_below_par")
 
 
+def q_policy_with_model(spark, sf):
+    """Both policies on the model's stored forecast: the fixed policy's figures, and whether the other's are sound."""
+    stacked = forecast.stack_predictions(_scored(spark, sf), _MODELS)
+    test = policy.with_stored_forecast(_scored(spark, sf).drop(forecast.PREDICTION), stacked, CFG.model_name)
+    opening = policy.opening_stock(Workspace(spark, sf, "type").stored_snapshots, CFG)
+    found = policy.compare_policies(test, forecast.PREDICTION, opening, CFG)
+    fixed = F.col("policy_name") == CFG.fixed_policy
+    sound = (F.col("stockout_days") >= 0) & (F.col("avg_stock_on_hand") >= 0)
+    return found.select(
+        "store_id",
+        "stock_code",
+        "policy_name",
+        F.when(fixed, F.col("stockout_days")).alias("stockout_days"),
+        F.when(fixed, F.round("avg_stock_on_hand", 6)).alias("avg_stock_on_hand"),
+        sound.alias("sound"),
+    )
+
+
+def q_restock_with_model(spark, sf):
+    """The distribution of the model's restock levels: their number, and whether its figures are in order."""
+    spread = policy.restock_distribution(_scored(spark, sf), forecast.PREDICTION, CFG)
+    ordered = (F.col("min") <= F.col("p25")) & (F.col("p25") <= F.col("p50")) & (F.col("p50") <= F.col("p75"))
+    sound = ordered & (F.col("p75") <= F.col("max")) & (F.col("min") >= 0) & F.col("share_below_par").between(0, 1)
+    return spread.select("count", sound.alias("sound"))
+
+
 def q_restock_from_predictions(spark, sf):
     """Restock levels from one model's stored predictions, read back and joined to the test rows."""
     test = features.test_rows(Workspace(spark, sf, "type", shared=True).features, CFG)
@@ -459,19 +542,19 @@ def q_correlation_listing(spark, sf):
 # -- checks and upserts ---------------------------------------------------------------------------
 
 
-def _orders_of_paid_lines(w: Workspace) -> DataFrame:
-    """Order headers of the lines priced below 50,000 only, so that some items have no header."""
-    return conform.build_orders(w.lines.where(F.col("unit_price") < 50_000))
+def _items_before_validation(w: Workspace) -> DataFrame:
+    """Items of all routed lines: those of invoices that are quarantined completely have no order header."""
+    return conform.build_order_items(w.routed, w.cfg)
 
 
 def q_orphan_items(spark, sf):
-    w = Workspace(spark, sf, shared=True)
-    return constraints.orphan_items(w.items, _orders_of_paid_lines(w))
+    w = Workspace(spark, sf)
+    return constraints.orphan_items(_items_before_validation(w), w.orders)
 
 
 def q_foreign_key_check(spark, sf):
-    w = Workspace(spark, sf, shared=True)
-    return constraints.check_foreign_key(w.items, _orders_of_paid_lines(w), "invoice_no")
+    w = Workspace(spark, sf)
+    return constraints.check_foreign_key(_items_before_validation(w), w.orders, "invoice_no")
 
 
 def q_primary_key_check(spark, sf):
@@ -480,17 +563,16 @@ def q_primary_key_check(spark, sf):
 
 
 def q_constraint_report(spark, sf):
-    w = Workspace(spark, sf, shared=True)
-    parents = {"orders": _orders_of_paid_lines(w), "stores": w.stores}
-    items = materialize(w.items, "order_items")
+    w = Workspace(spark, sf)
+    parents = {"orders": w.orders, "stores": w.stores}
+    items = materialize(_items_before_validation(w), "order_items")
     return constraints.constraint_report(TABLES["order_items"], items, parents)
 
 
 def q_quality_report(spark, sf):
-    """The gates over the baseline's metrics alone, so that the missing-model gate reports a failure."""
+    """The gates of a run, over the model's and the baseline's metrics."""
     w = Workspace(spark, sf, "type", shared=True)
-    test = features.test_rows(w.features, CFG)
-    evaluation = forecast.evaluate_forecast(forecast.stack_predictions(test, {CFG.baseline_name: "seasonal_naive_pred"}))
+    evaluation = forecast.evaluate_forecast(forecast.stack_predictions(_scored(spark, sf), _MODELS))
     return constraints.quality_report(w.items, w.orders, w.daily, evaluation, CFG)
 
 
@@ -557,6 +639,9 @@ QUERIES: dict[str, Query] = {
     "policy_change": q_policy_change,
     "policy_largest_increases": q_policy_largest_increases,
     "restock_distribution": q_restock_distribution,
+    "one_hot_positions": q_one_hot_positions,
+    "policy_with_model": q_policy_with_model,
+    "restock_with_model": q_restock_with_model,
     "restock_from_predictions": q_restock_from_predictions,
     "sales_summary": q_sales_summary,
     "inventory_summary": q_inventory_summary,

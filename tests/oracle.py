@@ -24,25 +24,25 @@ def _normal(value):
     return value
 
 
-def rows_of(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
+def rows_of(columns: list[str], rows, ordered: bool = False) -> tuple[list[str], list[tuple]]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     picked = [tuple(_normal(r[i]) for i in order) for r in rows]
-    return [columns[i] for i in order], sorted(picked, key=repr)
+    return [columns[i] for i in order], picked if ordered else sorted(picked, key=repr)
 
 
-def spark_rows(df):
-    return rows_of(df.columns, [tuple(r) for r in df.collect()])
+def spark_rows(df, ordered: bool = False):
+    return rows_of(df.columns, [tuple(r) for r in df.collect()], ordered)
 
 
-def duck_rows(con, sql: str):
+def duck_rows(con, sql: str, ordered: bool = False):
     cursor = con.execute(sql)
-    return rows_of([d[0] for d in cursor.description], cursor.fetchall())
+    return rows_of([d[0] for d in cursor.description], cursor.fetchall(), ordered)
 
 
-def difference(df, con, sql: str) -> str | None:
-    """None if equal, else the first difference."""
-    spark_columns, got = spark_rows(df)
-    duck_columns, want = duck_rows(con, sql)
+def difference(df, con, sql: str, ordered: bool = False) -> str | None:
+    """None if equal, else the first difference; ``ordered`` results have to agree in their order, too."""
+    spark_columns, got = spark_rows(df, ordered)
+    duck_columns, want = duck_rows(con, sql, ordered)
     if spark_columns != duck_columns:
         return f"columns {spark_columns} != {duck_columns}"
     if len(got) != len(want):

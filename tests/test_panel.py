@@ -11,6 +11,7 @@ from depotlens.config import EngineConfig
 from depotlens.functions.frames import fill_calendar
 from depotlens.operators.panel import (
     PAIR,
+    daily_demand,
     densify_panel,
     inventory_snapshots,
     panel_overview,
@@ -71,7 +72,7 @@ def test_stock_is_conserved_between_restocks(spark):
 
 def test_panel_is_pairs_times_days(spark):
     rows = items(spark, ("S", "A", day(2), 5), ("S", "A", day(2), 1), ("T", "A", day(9), 2), ("S", "B", day(0), 4))
-    snapshots = inventory_snapshots(rows, CFG)
+    snapshots = inventory_snapshots(daily_demand(rows), CFG)
     got = {(r["store_id"], r["stock_code"], r["snapshot_date"]): r["units_demanded"] for r in snapshots.collect()}
     assert len(got) == 3 * 10
     assert got["S", "A", day(2)] == 6 and got["T", "A", day(0)] == 0 and got["T", "A", day(9)] == 2
@@ -101,8 +102,8 @@ def test_top_products_ties_go_to_the_lower_code(spark):
 def test_ranking_can_stop_before_the_test_days(spark):
     rows = items(spark, ("S", "early", day(0), 5), ("S", "late", day(9), 50))
     cfg = replace(CFG, top_n_products=1)
-    assert {r["stock_code"] for r in inventory_snapshots(rows, cfg).collect()} == {"late"}
-    assert {r["stock_code"] for r in inventory_snapshots(rows, replace(cfg, top_as_of=day(5))).collect()} == {"early"}
+    assert {r["stock_code"] for r in inventory_snapshots(daily_demand(rows), cfg).collect()} == {"late"}
+    assert {r["stock_code"] for r in inventory_snapshots(daily_demand(rows), replace(cfg, top_as_of=day(5))).collect()} == {"early"}
 
 
 def test_calendar_does_not_depend_on_the_time_zone(spark):
