@@ -4,7 +4,9 @@ Spark cannot overwrite files it is reading, so a load stages its batch, writes t
 new place and only then makes them current:
 
 * tables partitioned by month rewrite the touched months only (dynamic partition overwrite from a
-  staged copy). Months are replaced one by one; a load that was cut off is completed by repeating it;
+  complete copy under ``pending``). Months are replaced one by one; the copy is deleted after the last, so a
+  load that was cut off in between is finished by the next read or load, and no row of it or of an earlier
+  load is lost. A marker is set after the first load, so half of it is never read as the table;
 * other tables get a new version directory. The current version is the highest one that carries
   the committer's ``_SUCCESS`` marker, so a failed or half-written load is never visible.
 """
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 
 from depotlens.schemas import TABLES, Table
 
-MONTH = "key_month"
+MONTH, LOADED = "key_month", "_LOADED"
 
 
 def keep_last(batch: DataFrame, keys: Sequence[str], order_by: Column) -> DataFrame:
@@ -93,17 +95,48 @@ class TableStore:
 
     def exists(self, table: Table) -> bool:
         if table.month_of:
-            fs, path = self._fs(f"{self.root}/{table.name}")
-            return fs.exists(path) and any(
-                s.getPath().getName().startswith(f"{MONTH}=") for s in fs.listStatus(path)
-            )
+            fs, path = self._fs(f"{self.root}/{table.name}/{LOADED}")
+            return fs.exists(path)
         return bool(self._versions(table))
 
+    def recover(self, table: Table) -> None:
+        """Finish a load that was interrupted while it replaced months; before that point nothing was touched."""
+        place = f"{self.root}/pending/{table.name}"
+        fs, path = self._fs(place)
+        if not fs.exists(path):
+            return
+        if fs.exists(self._fs(f"{place}/months/_SUCCESS")[1]):  # written last, so the rows are complete
+            self._replace_months(table, place)
+        fs.delete(path, True)
+
+    def _replace_months(self, table: Table, place: str) -> None:
+        """Put the staged rows in the place of the months they stand for; doing it again does no harm."""
+        path = f"{self.root}/{table.name}"
+        schema = T.StructType([*table.schema.fields, T.StructField(MONTH, T.DateType())])
+        rows = self.spark.read.schema(schema).parquet(f"{place}/rows")
+        # Clustered by month: few files per month, and a hot month is still split over several tasks.
+        (
+            rows.hint("rebalance", MONTH)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH)
+            .parquet(path)
+        )
+        # A month whose last rows moved away gets no new files, so its old ones are removed here.
+        emptied = self.spark.read.parquet(f"{place}/months").where("emptied").select(MONTH).collect()
+        for row in emptied:
+            fs, old = self._fs(f"{path}/{MONTH}={row[0]}")
+            fs.delete(old, True)
+        fs, marker = self._fs(f"{path}/{LOADED}")
+        fs.create(marker, True).close()
+
     def read(self, table: Table, first: date | None = None, last: date | None = None) -> DataFrame:
         """The current rows; an empty frame with the declared schema before the first load.
 
         A date range on a month table prunes its partitions, and its rows in the files that remain.
         """
+        if table.month_of:
+            self.recover(table)
         if not self.exists(table):
             return self.spark.createDataFrame([], table.schema)
         if table.month_of:
@@ -155,7 +188,7 @@ class TableStore:
                 if run_ts is not None and stamp in table.columns:
                     defaults[stamp] = run_ts
             if table.month_of:
-                self._merge_months(table, staged, defaults, staging)
+                self._merge_months(table, staged, defaults)
             else:
                 self._merge_version(table, staged, defaults)
             return submitted
@@ -173,40 +206,38 @@ class TableStore:
         number = versions[-1] + 1 if versions else 1
         merged.write.mode("overwrite").parquet(f"{self.root}/{table.name}/v{number}")
 
-    def _merge_months(self, table: Table, staged: DataFrame, defaults: dict[str, Any], staging: str) -> None:
+    def _merge_months(self, table: Table, staged: DataFrame, defaults: dict[str, Any]) -> None:
         """Rewrite the months the batch falls in, and those that hold its keys now if a key can change month."""
         if table.month_of not in staged.columns:
             raise ValueError(f"{table.name}: a batch needs {table.month_of}, which places its rows")
         month = F.trunc(F.col(table.month_of).cast("date"), "month").alias(MONTH)
-        path = f"{self.root}/{table.name}"
+        self.recover(table)
         # One row per calendar month, so these lists are bounded by the calendar.
         touched = {r[0] for r in staged.select(month).distinct().collect()}
         if None in touched:
             raise ValueError(f"{table.name}: {table.month_of} is NULL in some rows")
         current = self.spark.createDataFrame([], table.schema)
-        present = self.exists(table)
-        if present:
+        if self.exists(table):
             stored = self._read_months(table)
             if table.month_of not in table.keys:
-                held = stored.join(staged.select(*table.keys), list(table.keys), "left_semi")
+                keys = list(table.keys)
+                inside = stored.where(F.col(MONTH).isin(list(touched))).select(*keys)
+                moved = staged.select(*keys).join(inside, keys, "left_anti")
+                held = stored.where(~F.col(MONTH).isin(list(touched))).join(moved, keys, "left_semi")
                 touched |= {r[0] for r in held.select(MONTH).distinct().collect()}
             current = stored.where(F.col(MONTH).isin(list(touched))).select(*table.columns)
+        else:
+            fs, path = self._fs(f"{self.root}/{table.name}")
+            fs.delete(path, True)  # what a first load that did not finish has left
         merged = merge_rows(current, staged, table.keys, defaults).withColumn(MONTH, month)
-        # Rows of months that are about to be replaced are staged first; a first load has none to protect.
-        result = self._staged(merged, f"{staging}/merged") if present else merged
-        # Clustered by month: few files per month, and a hot month is still split over several tasks.
-        (
-            result.hint("rebalance", MONTH)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
-            .parquet(path)
-        )
-        if present and table.month_of not in table.keys:
-            # A month whose last rows moved away gets no new files, so its old ones are removed here.
-            for emptied in touched - {r[0] for r in result.select(MONTH).distinct().collect()}:
-                fs, place = self._fs(f"{path}/{MONTH}={emptied}")
-                fs.delete(place, True)
+        # The rows that replace the months are complete in `pending` before a month is touched, and stay there
+        # until all are replaced: an interrupted load is finished by the next read or load of the table.
+        place = f"{self.root}/pending/{table.name}"
+        merged.write.mode("overwrite").parquet(f"{place}/rows")
+        left = {r[0] for r in self.spark.read.parquet(f"{place}/rows").select(MONTH).distinct().collect()}
+        months = [(m, m not in left) for m in sorted(touched)]
+        self.spark.createDataFrame(months, f"{MONTH} date, emptied boolean").coalesce(1).write.mode("overwrite").parquet(f"{place}/months")
+        self.recover(table)
 
     def drop_old_versions(self, table: Table, keep: int = 2) -> int:
         """Remove superseded versions, leaving the newest ``keep`` for readers that are still open."""

@@ -180,3 +180,40 @@ def test_every_table_declares_its_key_columns():
         assert set(table.keys) <= set(table.columns) and set(table.not_null) <= set(table.columns)
         assert table.month_of is None or table.month_of in table.not_null
     assert len(TABLES) == 13
+
+
+def test_a_load_cut_off_between_months_is_finished_later(spark, store, monkeypatch):
+    table = TABLES["store_daily_metrics"]
+    rows = [("LON", date(2011, m, d), Decimal(m * 100 + d), m, d) for m in range(1, 5) for d in (1, 2)]
+    names = ["store_id", "metric_date", "revenue", "orders_count", "units_sold"]
+    store.upsert(table, spark.createDataFrame(rows, names))
+    change = spark.createDataFrame([("LON", date(2011, m, 2), Decimal(1), 0, 0) for m in (2, 3)], names)
+    replace, calls = TableStore._replace_months, []
+
+    def cut_off(self, table, place):
+        """The first month is gone and nothing is written yet when the job dies."""
+        calls.append(place)
+        fs, month = self._fs(f"{self.root}/{table.name}/key_month=2011-02-01")
+        fs.delete(month, True)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(TableStore, "_replace_months", cut_off)
+    with pytest.raises(RuntimeError):
+        store.upsert(table, change)
+    monkeypatch.setattr(TableStore, "_replace_months", replace)
+    got = {(r["metric_date"].month, r["metric_date"].day): int(r["revenue"]) for r in store.read(table).collect()}
+    want = {(m, d): m * 100 + d for m in range(1, 5) for d in (1, 2)} | {(2, 2): 1, (3, 2): 1}
+    assert calls and got == want
+    store.upsert(table, change)
+    assert store.read(table).count() == 8
+
+
+def test_half_of_a_first_load_is_not_a_table(spark, store, monkeypatch):
+    table = TABLES["store_daily_metrics"]
+    names = ["store_id", "metric_date", "revenue", "orders_count", "units_sold"]
+    first = spark.createDataFrame([("LON", date(2011, 1, 1), Decimal(1), 1, 1)], names)
+    monkeypatch.setattr(TableStore, "recover", lambda self, table: None)
+    store.upsert(table, first)
+    assert not store.exists(table)
+    monkeypatch.undo()
+    assert store.read(table).count() == 1
