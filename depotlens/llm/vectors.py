@@ -10,8 +10,8 @@ lost and none is found twice. Large cells are cut into blocks of residents times
 visitors, so no task holds a cell.
 
 Equal vectors are one class with a multiplicity and are joined once. A block returns counts and a spanning
-forest of its links, never the pairs. Pivots are a bounded sample (``most_pivots``, the classes with the
-smallest content hash); any pivots give the same result.
+forest of its links, never the pairs. Pivots are the mutually farthest of a sample of twice as many vectors (one
+for every ``block`` vectors, at most ``most_pivots``); any pivots give the same result.
 
 Null vectors, zero vectors and vectors with a null or non-finite component link with nothing, vectors of
 different lengths never link, a null vec_id counts as a partner but names a component only if all are null,
@@ -69,8 +69,10 @@ def keyed(vectors: DataFrame) -> DataFrame:
             columns = [*batch.columns, pa.array(keys, pa.binary()), size]
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "embedding", "_key", "_size"])
 
-    picked = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    return picked.mapInArrow(run, "vec_id long, embedding array<double>, _key binary, _size int")
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
+    picked = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(kind))
+    return picked.mapInArrow(run, f"vec_id long, embedding {kind}, _key binary, _size int")
 
 
 def assign(classes: DataFrame, pivots: np.ndarray, shells: np.ndarray | None, radius: float) -> DataFrame:
@@ -81,8 +83,9 @@ def assign(classes: DataFrame, pivots: np.ndarray, shells: np.ndarray | None, ra
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, len(whole), 2048):
-                batch = whole.slice(at, 2048)
+            step = max(16, (1 << 15) // len(pivots))  # a row may visit every cell
+            for at in range(0, len(whole), step):
+                batch = whole.slice(at, step)
                 rows = unit_rows(batch.column(2), size)
                 squared = np.maximum(0.0, 2.0 - 2.0 * rows @ pivots.T)
                 home = squared.argmin(axis=1)
@@ -104,7 +107,8 @@ def assign(classes: DataFrame, pivots: np.ndarray, shells: np.ndarray | None, ra
 
     if shells is None:
         return classes.mapInArrow(run, "cell long, distance double")
-    return classes.mapInArrow(run, "cell long, resident boolean, node long, many long, embedding array<double>")
+    kind = classes.schema["embedding"].dataType.simpleString()
+    return classes.mapInArrow(run, f"cell long, resident boolean, node long, many long, embedding {kind}")
 
 
 def spanning_labels(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,40 +125,48 @@ def spanning_labels(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         row, column = row_next, column_next
 
 
-def _block_links(size: int, cosine: float):
+def _block_links(size: int, cosine: float, step: int = 256):
     def join(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         node, many = table.column("node").to_numpy(), table.column("many").to_numpy()
         rows = unit_rows(table.column("embedding"), size)
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        linked = rows[left] @ rows[right].T >= cosine
-        linked &= node[left][:, None] != node[right][None, :]
-        links = linked @ many[right]
-        a, b = spanning_labels(linked)
-        labels = np.concatenate([node[left], node[right]])
-        met = np.concatenate([linked.any(axis=1), linked.any(axis=0)])
-        every, root = labels, labels[np.concatenate([a, b])]
-        some = np.flatnonzero(links)
-        edge = np.flatnonzero(met & (every != root))
-        blank = np.full(len(edge), -1)
-        return pa.table(
-            {
-                "node": np.concatenate([node[left][some], every[edge]]),
-                "links": np.concatenate([links[some], np.zeros(len(edge), dtype=np.int64)]),
-                "other": np.concatenate([np.full(len(some), -1), root[edge]]) if len(blank) or len(some) else np.zeros(0, np.int64),
-            }
-        )
+        found: list[tuple] = []
+        for at in range(0, len(left), step):
+            part = left[at : at + step]
+            linked = rows[part] @ rows[right].T >= cosine
+            linked &= node[part][:, None] != node[right][None, :]
+            links = linked @ many[right]
+            some, met = np.flatnonzero(links), np.flatnonzero(linked.any(axis=0))
+            a, b = spanning_labels(linked[some][:, met])
+            labels = np.concatenate([node[part][some], node[right][met]])
+            root = labels[np.concatenate([a, b])]
+            edge = np.flatnonzero(labels != root)
+            found.append((node[part][some], links[some], np.full(len(some), -1)))
+            found.append((labels[edge], np.zeros(len(edge), dtype=np.int64), root[edge]))
+        none = np.zeros(0, dtype=np.int64)
+        columns = [np.concatenate([none, *parts]) for parts in zip(*found)] if found else [none] * 3
+        return pa.table(columns, names=["node", "links", "other"])
 
     return join
 
 
+def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
+    """``count`` vectors of the sample, each the farthest from those before, so cells follow the data's groups."""
+    chosen, near = [0], np.full(len(sample), np.inf)
+    while len(chosen) < min(count, len(sample)):
+        near = np.minimum(near, 2.0 - 2.0 * sample @ sample[chosen[-1]])
+        chosen.append(int(near.argmax()))
+    return np.unique(sample[chosen], axis=0)
+
+
 def range_join(classes: DataFrame, size: int, cosine: float, most_pivots: int, block: int) -> DataFrame:
     """(node, links, other): partial link counts (other is -1) and edges of a spanning forest (links is 0)."""
     radius = math.sqrt(max(0.0, 2.0 - 2.0 * cosine))
     n = classes.count()
-    count = min(most_pivots, max(1, math.ceil(math.sqrt(n) / 2)))
-    sample = classes.orderBy(F.xxhash64("node")).limit(count).select("embedding").toArrow()
-    pivots = np.unique(unit_rows(sample.column(0), size), axis=0)
+    count = min(most_pivots, max(1, math.ceil(n / block)))
+    sample = classes.orderBy(F.xxhash64("_key")).limit(2 * count).select("embedding").toArrow()
+    pivots = spread_pivots(unit_rows(sample.column(0), size), count)
     rows = classes.select("node", "many", "embedding")
     shells = np.tile([np.inf, -np.inf], (len(pivots), 1))
     found = assign(rows, pivots, None, radius).groupBy("cell").agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"))
@@ -175,7 +187,7 @@ def range_join(classes: DataFrame, size: int, cosine: float, most_pivots: int, b
 
 
 def near_duplicate_vectors(
-    vectors: DataFrame, cosine: float = 0.9, most_pivots: int = 4096, block: int = 1024
+    vectors: DataFrame, cosine: float = 0.9, most_pivots: int = 4096, block: int = 4096
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     rows = materialize(keyed(vectors), "vectors")
