@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.llm.kernels import Words, split_words, text_chunks
+from depotlens.llm.storage import drop_written, release_shuffles
 from depotlens.session import materialize
 
 END, START = np.uint64(0x27220A95FE1D83D1), np.uint64(0x9FB21C651E98DF25)
@@ -72,7 +73,7 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
 BLOCK = "bucket long, block long, words binary, spread binary, hists binary, shared binary, docs binary, times binary"
 
 
-def exchange_blocks(docs: DataFrame, buckets: int, tokens: int = 1 << 21, most_docs: int = 1 << 15) -> DataFrame:
+def exchange_blocks(docs: DataFrame, buckets: int, tokens: int = 3 << 19, most_docs: int = 1 << 15) -> DataFrame:
     """Rows of (bucket, block): words; histories per word; histories; documents per bigram; documents; counts.
 
     A document is its number in the block, doubled, plus one if it is held out. ``doc_ids`` rows (bucket -1 -
@@ -96,8 +97,12 @@ def exchange_blocks(docs: DataFrame, buckets: int, tokens: int = 1 << 21, most_d
 
         def flush() -> Iterator[pa.RecordBatch]:
             w, h, d = (np.concatenate(c) for c in zip(*parts))
+            parts.clear()
             order = np.lexsort((d, h, w))
-            w, h, d = w[order], h[order], d[order]
+            w = w[order]
+            h = h[order]
+            d = d[order]
+            del order
             triple = _runs(w, h, d)
             times = np.diff(np.append(triple, len(w))).astype("<u4")
             w, h, d = w[triple], h[triple], d[triple].astype("<u2")
@@ -283,7 +288,7 @@ def fit(table: DataFrame) -> Model:
 # -- evaluation -----------------------------------------------------------------------------------
 
 
-def evaluate(table: DataFrame, model: Model, parts: int) -> DataFrame:
+def evaluate(table: DataFrame, model: Model, parts: int, most: int = 1 << 26) -> DataFrame:
     """Sums per document and what is to be settled by history.
 
     kind 0: key block, per document: tokens known, base, and score without backoff weights.
@@ -296,7 +301,7 @@ def evaluate(table: DataFrame, model: Model, parts: int) -> DataFrame:
     def row(kind: int, key: int, *data: bytes) -> list:
         return [kind, key, *data, *[None] * (4 - len(data))]
 
-    def settle(bucket: Bucket) -> Iterator[list]:
+    def settle(bucket: Bucket, gathered: dict[int, np.ndarray]) -> Iterator[list]:
         log = lambda x: np.log10(np.where(x > 0, x, 1.0))
         p_word = model.weight(bucket.total, model.unigram) / max(1, model.tokens)
         log_word = np.where(bucket.total > 0, log(p_word), math.log10(model.unknown))
@@ -318,8 +323,11 @@ def evaluate(table: DataFrame, model: Model, parts: int) -> DataFrame:
         block, doc = block[first], doc[first]
         edge = _runs(block)
         for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(block)]):
-            known_in = sums[0][a:b].astype("<u4").tobytes()
-            yield row(0, int(block[a]), doc[a:b].astype("<u2").tobytes(), known_in, sums[1][a:b].astype("<f8").tobytes(), sums[2][a:b].astype("<f8").tobytes())
+            kept_here = gathered.setdefault(int(block[a]), np.zeros((3, int(doc[a:b].max()) + 1)))
+            wide = int(doc[a:b].max()) + 1 - kept_here.shape[1]
+            if wide > 0:
+                kept_here = gathered[int(block[a])] = np.pad(kept_here, ((0, 0), (0, wide)))
+            kept_here[:, doc[a:b]] += np.stack([x[a:b] for x in sums])
         # Per history: the mass its seen words lose, as counts, and their unigram probability.
         there = np.flatnonzero(~unseen)
         there = there[np.argsort(bucket.hist[there], kind="stable")]
@@ -346,11 +354,26 @@ def evaluate(table: DataFrame, model: Model, parts: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+        gathered: dict[int, np.ndarray] = {}  # per block: known tokens, base and score of its documents
+
+        def made(rows: list[list]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+        def sums_so_far() -> Iterator[pa.RecordBatch]:
+            for block, values in gathered.items():
+                doc = np.flatnonzero(values.any(axis=0))
+                parts = (doc.astype("<u2"), values[0, doc].astype("<u4"), values[1, doc], values[2, doc])
+                yield made([row(0, block, *(x.tobytes() for x in parts))])
+            gathered.clear()
+
         for batch in batches:
             for blocks in batch.column(0):
-                rows = list(settle(merge(blocks.as_py())))
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                rows = list(settle(merge(blocks.as_py()), gathered))
+                if rows:
+                    yield made(rows)
+                if sum(v.nbytes for v in gathered.values()) > most:
+                    yield from sums_so_far()
+        yield from sums_so_far()
 
     return table.select("blocks").mapInArrow(run, schema)
 
@@ -436,14 +459,16 @@ def collect_documents(about: DataFrame, sums: DataFrame, backoff: DataFrame, mod
     return parts.unionByName(known).groupBy("key").applyInArrow(add, schema)
 
 
-def score_documents(docs: DataFrame, held_out, buckets: int | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, held_out, buckets: int | None = None, keep_table: bool = False) -> DataFrame:
     """Scores of all documents by the model of those for which the condition ``held_out`` is false.
 
+    The table of n-grams is deleted once all tokens are evaluated, unless ``keep_table`` is set.
+
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); logarithms to base 10.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or 4 * partitions
+    buckets = buckets or 2 * partitions
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out, F.lit(False)), F.col("text").cast("string"))
     exchanged = exchange_blocks(rows, buckets)
 
@@ -459,7 +484,11 @@ def score_documents(docs: DataFrame, held_out, buckets: int | None = None) -> Da
 
     schema = TABLE.replace("bucket long,", "bucket long, block long,") + ", ids array<long>, held array<boolean>, sizes array<long>"
     table = materialize(exchanged.groupBy("bucket").applyInArrow(store, schema), "ngram-table")
+    about = materialize(table.where("bucket < 0").select("block", "ids", "held", "sizes"), "ngram-documents")
+    release_shuffles(spark)
     grams = table.where("bucket >= 0").select("blocks")
     model = fit(grams)
     sums = materialize(evaluate(grams, model, partitions), "ngram-sums")
-    return collect_documents(table.where("bucket < 0"), sums, back_off(sums), model)
+    if not keep_table:
+        drop_written(table)
+    return collect_documents(about, sums, back_off(sums), model)
