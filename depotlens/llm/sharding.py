@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
@@ -46,9 +47,11 @@ def arc_of(key: Column, points: list[tuple[int, int]]) -> Column:
     width = 1 << (RING_BITS - CELL_BITS)
     first = [bisect.bisect_left(places, c * width) for c in range((1 << CELL_BITS) + 1)]
     cell = F.shiftright(place, RING_BITS - CELL_BITS).cast("int")
-    inner = F.array(*[F.array(*map(F.lit, places[a:b])).cast("array<bigint>") for a, b in zip(first, first[1:])])
+    # Both tables are constants of the plan, one literal each.
+    inner = F.from_json(F.lit(json.dumps([places[a:b] for a, b in zip(first, first[1:])])), "array<array<bigint>>")
+    before = F.from_json(F.lit(json.dumps(first[:-1])), "array<int>")
     behind = F.size(F.filter(F.get(inner, cell), lambda p: p < place))
-    return F.pmod(F.get(F.lit(first[:-1]), cell) + behind, F.lit(len(points))).cast("int")
+    return F.pmod(F.get(before, cell) + behind, F.lit(len(points))).cast("int")
 
 
 def settle(counts: list[int], owner: list[int], room: list[int]) -> list[list[tuple[int, int, int, int]]]:
