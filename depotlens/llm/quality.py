@@ -4,7 +4,13 @@ A document's characters are counted by class and its words by a short list of it
 Both histograms are compared with the language's reference by the Jensen-Shannon distance (square root of the
 divergence to base 2, so 0 to 1). The reference of a language is the sum over all its documents that pass the
 plain rules and both length guards. A distance speaks only above its guard: short texts scatter around the
-reference by chance. Documents of other or no language share one reference over all lists' first words.
+reference by chance.
+
+A document without a listed language is compared with the reference of every listed one, each over its own
+words, and has the smallest distance (for characters also to the sum over all such documents). A language that no
+typical document names takes its reference from documents without language most of whose common words are its own.
+Where ``lang`` is null or blank the smallest word distance decides; a language that is named but not listed is not
+rejected by it: above the limit the word distance is null. Without any reference a distance is null, too.
 
 Plain rules: fewer than ``min_words`` words fail, and so do texts more than half of whose words stand in
 three-word windows that the text repeats. A null text counts as empty and fails. Repeated rows are documents
@@ -30,6 +36,7 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par"],
 }
 OTHER = "other"
+# The SQL counterpart has this pooled list for documents without a listed language; the operator does not use it.
 WORD_LISTS = COMMON_WORDS | {OTHER: [w for words in COMMON_WORDS.values() for w in words[:4]]}
 #: What is left of a text after taking out a class, from the most common class on; the rest is the last class.
 CLASSES = {"lower": "[a-z]+", "space": GAP, "upper": "[A-Z]+", "digit": "[0-9]+", "beyond": r"[^\x00-\x7F]+"}
@@ -85,7 +92,10 @@ def repeated_words(words: Column, size: int = 3) -> Column:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """The documents with the base figures and both histograms (``_chars``, ``_common``, ``_group``)."""
+    """The documents with the base figures and their histograms (``_chars``, ``_common``, ``_group``).
+
+    ``_common`` has a histogram by the words of the document's language, or one by each list in their order.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     group = F.when(F.col("lang").isin(*COMMON_WORDS), F.col("lang")).otherwise(F.lit(OTHER))
     rows = docs.withColumns({"_text": text, "_words": words_of(text), "_group": group})
@@ -95,7 +105,7 @@ def measure(docs: DataFrame) -> DataFrame:
         left = F.regexp_replace(left, pattern, "")
         lengths.append(F.char_length(left))
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    vocabulary = sorted({w for words in WORD_LISTS.values() for w in words})
+    vocabulary = sorted({w for words in COMMON_WORDS.values() for w in words})
     rows = rows.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
@@ -108,15 +118,15 @@ def measure(docs: DataFrame) -> DataFrame:
         }
     )
     steps = [F.get("_lengths", F.lit(i)) - F.get("_lengths", F.lit(i + 1)) for i in range(len(CLASSES))]
-    listed = F.lit(None).cast("array<string>")
-    for name, words in WORD_LISTS.items():
-        listed = F.when(F.col("_group") == name, F.lit(words)).otherwise(listed)
-    found = F.transform(listed, lambda c: F.size(F.filter("_hits", lambda w: w == c)))
-    rest = F.col("n_words").cast("int") - F.aggregate("_found", F.lit(0), lambda a, b: a + b)
+    listed = F.array(*[F.lit(words) for words in COMMON_WORDS.values()])
+    for name, words in COMMON_WORDS.items():
+        listed = F.when(F.col("_group") == name, F.array(F.lit(words))).otherwise(listed)
+    found = F.transform(listed, lambda words: F.transform(words, lambda c: F.size(F.filter("_hits", lambda w: w == c))))
+    rest = lambda n: F.col("n_words").cast("int") - F.aggregate(n, F.lit(0), lambda a, b: a + b)
     rows = rows.withColumn("_found", found).withColumns(
         {
             "_chars": F.array(*steps, F.get("_lengths", F.lit(len(CLASSES)))).cast("array<long>"),
-            "_common": F.concat("_found", F.array(rest)).cast("array<long>"),
+            "_common": F.transform("_found", lambda n: F.concat(n, F.array(rest(n)))).cast("array<array<long>>"),
         }
     )
     return rows.drop("_text", "_words", "_lengths", "_hits", "_found")
@@ -132,7 +142,36 @@ def distance(p: Column, q: Column) -> Column:
         return side(x) + side(y)
 
     between = F.aggregate(F.zip_with(share(p), share(q), part), F.lit(0.0), lambda a, b: a + b)
-    return F.sqrt(F.greatest(between, F.lit(0.0)))
+    # greatest() would make 0 of a null.
+    return let(between, lambda b: F.sqrt(F.when(b < 0, F.lit(0.0)).otherwise(b)))
+
+
+def references(typical: DataFrame) -> DataFrame:
+    """Per ``_group`` the histograms to compare with: ``ref_chars`` and ``ref_common``, which goes by ``_common``."""
+    names, size = list(COMMON_WORDS), len(next(iter(COMMON_WORDS.values()))) + 1
+    other, blank = F.col("_group") == OTHER, F.trim(F.coalesce("lang", F.lit(""))) == ""
+    hits = lambda h, i: F.struct((F.col("n_words") - F.get(h, F.lit(size - 1))).alias("hits"), (-i).alias("i"))
+    most = F.array_max(F.transform("_common", hits))
+    at = F.when(~other, F.lit(0)).when(blank & (most["hits"] > 0), -most["i"])
+    typical = typical.withColumn("_at", at).withColumn("_found", F.get("_common", F.col("_at")))
+    name = F.when(other, F.get(F.lit(names), F.col("_at"))).otherwise(F.col("_group"))
+    total = lambda c, n: F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(n)])
+    sums = typical.groupBy("_group", name.alias("name")).agg(
+        total("_chars", len(CLASSES) + 1).alias("chars"), total("_found", size).alias("common")
+    )  # at most nine rows: one per list, and those without a listed language by list or none
+
+    entries = lambda which: F.map_from_entries(F.collect_list(F.when(which, F.struct("name", F.struct("chars", "common")))))
+    pool = F.transform(F.col("chars"), lambda v: F.when(other, v))
+    one = sums.withColumn("pool", pool).agg(
+        entries(~other).alias("named"), entries(other & F.isnotnull("name")).alias("guessed"), total("pool", len(CLASSES) + 1).alias("pool")
+    )
+    own = lambda n: F.try_element_at("named", n)
+    every = F.transform(F.lit(names), lambda n: F.coalesce(own(n), F.try_element_at("guessed", n)))
+    groups = one.select("*", F.explode(F.lit([*names, OTHER])).alias("_group"))
+    groups = groups.withColumn("refs", F.when(other, every).otherwise(F.array(own(F.col("_group")))))
+    part = lambda c: F.transform("refs", lambda r: r[c])
+    chars = F.when(other, F.concat(part("chars"), F.array("pool"))).otherwise(part("chars"))
+    return groups.select("_group", chars.alias("ref_chars"), part("common").alias("ref_common"))
 
 
 def judge(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -144,18 +183,19 @@ def judge(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
 
     n_chars = F.aggregate("_chars", F.lit(0).cast("long"), lambda a, b: a + b)
     speaks = {"char": n_chars >= rules.char_guard, "word": F.col("n_words") >= rules.word_guard}
-    sums = []
-    for name, size in (("_chars", len(CLASSES) + 1), ("_common", len(next(iter(WORD_LISTS.values()))) + 1)):
-        sums.append(F.array(*[F.sum(F.get(name, F.lit(i))) for i in range(size)]).alias(f"ref{name}"))
     typical = measured.where(~F.col("base_failed") & speaks["char"] & speaks["word"])
-    reference = typical.groupBy("_group").agg(*sums)  # at most one row per list
-    joined = measured.join(F.broadcast(reference), "_group", "left")
+    joined = measured.join(F.broadcast(references(typical)), "_group", "left")  # one row per list and one for the others
+    by_chars = F.array_min(F.transform("ref_chars", lambda q: distance(F.col("_chars"), q)))
+    by_words = F.array_min(F.zip_with("_common", "ref_common", distance))
     joined = joined.withColumns(
         {
-            "char_distance": F.when(speaks["char"], F.round(distance(F.col("_chars"), F.col("ref_chars")), 6)),
-            "word_distance": F.when(speaks["word"], F.round(distance(F.col("_common"), F.col("ref_common")), 6)),
+            "char_distance": F.when(speaks["char"], F.round(by_chars, 6)),
+            "word_distance": F.when(speaks["word"], F.round(by_words, 6)),
         }
     )
+    unlisted = (F.col("_group") == OTHER) & (F.trim(F.coalesce("lang", F.lit(""))) != "")
+    silent = unlisted & (F.col("word_distance") > rules.word_distance)
+    joined = joined.withColumn("word_distance", F.when(F.coalesce(~silent, F.lit(True)), F.col("word_distance")))
     near = (F.coalesce("char_distance", F.lit(0.0)) <= rules.char_distance) & (
         F.coalesce("word_distance", F.lit(0.0)) <= rules.word_distance
     )

@@ -4,9 +4,10 @@ import random
 import pytest
 from conftest_llm import words
 from oracle import connect, difference
+from pyspark.sql import functions as F
 
 from depotlens.llm import queries
-from depotlens.llm.quality import RESULTS, judge
+from depotlens.llm.quality import COMMON_WORDS, RESULTS, judge
 
 
 def repeated(w):
@@ -61,3 +62,43 @@ def test_labels_agree(spark, sf_dir):
     found = queries.op4_quality_rules(spark, folder).join(labels, "doc_id").where("not base_failed").collect()
     good, bad = [r["kept"] for r in found if r["quality"]], [r["kept"] for r in found if not r["quality"]]
     assert sum(good) == len(good) and sum(bad) < 0.3 * len(bad) and not math.isnan(len(bad))
+
+
+def prose(rng, common, n=200):
+    return " ".join(rng.choice(common) if rng.random() < 0.4 else f"wo{rng.choice('abcdef')}{rng.choice('klmnop')}" for _ in range(n))
+
+
+def test_blank_languages_are_judged_by_the_nearest_reference(spark, sf_dir):
+    """The labelled documents' verdicts hardly depend on whether their language is given, nor on that of the others."""
+    folder = sf_dir.replace("sf0.001", "sf0.01")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    docs = queries.documents(spark, folder).select("doc_id", "text", "lang").join(labels, "doc_id", "left")
+
+    def verdicts(lang):
+        judged = judge(docs.withColumn("lang", lang)).where("quality is not null and not base_failed and n_words >= 100")
+        return {r["doc_id"]: (r["quality"], r["kept"], r["word_distance"]) for r in judged.collect()}
+
+    given = verdicts(F.col("lang"))
+    assert all(kept for quality, kept, _ in given.values() if quality) and len(given) > 100
+    for lang in (F.when(F.isnull("quality"), F.col("lang")), F.lit(None).cast("string"), F.lit(" ")):
+        blank = verdicts(lang)
+        assert blank.keys() == given.keys()
+        assert all(kept for quality, kept, _ in blank.values() if quality)
+        junk = [i for i, (quality, _, far) in given.items() if not quality and far > 0.27]
+        assert sum(blank[i][2] > 0.27 for i in junk) >= 0.9 * len(junk) > 0
+
+
+def test_unlisted_language_is_not_judged_by_lists_it_does_not_fit(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, COMMON_WORDS[lang]), lang) for i, lang in enumerate(["en", "de"] * 20)]
+    rows += [(100 + i, prose(rng, ["ja", "on", "ei", "oli", "joka", "hän"]).replace("on ", "se "), "fi") for i in range(10)]
+    rows += [(200 + i, prose(rng, COMMON_WORDS["de"]), "nl") for i in range(10)]
+    found = judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert all(r["kept"] for r in found)
+    assert all((r["word_distance"] is None) == (r["lang"] == "fi") for r in found)
+
+
+def test_no_reference_gives_no_distance(spark):
+    rows = [(i, f"{'qx ' * 60}{' '.join(f'z{k}' for k in range(90))}", None) for i in range(3)]
+    found = judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert [(r["base_failed"], r["word_distance"], r["kept"]) for r in found] == [(False, None, True)] * 3
