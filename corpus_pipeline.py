@@ -27,8 +27,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8) stays."""
-    return near_duplicates.near_duplicates(docs).where("kept").select(*docs.columns)
+    """One row of each group of near duplicates (five-word shingles, similarity 0.8) stays, and all without words.
+
+    Groups are found over row numbers, so repeated, shared and missing ids are no obstacle. The row with the
+    smallest doc_id stays, the first of them if several have it; a null comes last.
+    """
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    numbered = rows.select(F.col("_row").alias("doc_id"), "text", F.col("doc_id").alias("_given"))
+    found = near_duplicates.near_duplicates(numbered)
+    first = F.min(F.struct(F.isnull("_given"), "_given", F.col("doc_id").alias("_row"))).alias("first")
+    first = found.groupBy("component_id").agg(first).select("first._row")
+    return rows.join(first, "_row", "left_semi").select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

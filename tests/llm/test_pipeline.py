@@ -48,3 +48,27 @@ def test_stages(stages, spark, sf_dir):
 def test_run(spark, sf_dir, stages):
     found = corpus_pipeline.run(spark, sf_dir)
     assert sorted(r["ids_crc32"] for r in found.collect()) == sorted(r["ids_crc32"] for r in stages[-1].collect())
+
+
+def test_one_row_of_each_group_of_near_duplicates_goes_through(spark):
+    """Repeated rows, ids used twice and rows without id: each text stays once, as a whole, up to the mix."""
+    text = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    rows = [
+        (1, text("a")), (1, text("a")), (1, text("a")),  # a repeated row
+        (None, text("b")), (None, text("b")),  # equal texts without id
+        (None, text("c")),  # another group without id
+        (4, text("d")), (4, text("d") + " more"),  # one id, near texts
+        (4, text("e")),  # the same id, another text
+        (9, text("f")), (6, text("f")), (None, text("f")),  # the smallest id stays
+        (7, ""), (7, ""), (None, None),  # no words, no group
+    ]
+    rows = [(i, t, "en", "src", len(t or "")) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    single = corpus_pipeline.materialize(corpus_pipeline.drop_near_duplicates(spark, docs, ""), "test-single")
+    assert single.columns == docs.columns
+    got = sorted(((r["doc_id"], (r["text"] or " ").split(" ")[0]) for r in single.collect()), key=repr)
+    want = [(1, "a0"), (None, "b0"), (None, "c0"), (4, "d0"), (4, "e0"), (6, "f0"), (7, ""), (7, ""), (None, "")]
+    assert got == sorted(want, key=repr)
+    cut = corpus_pipeline.drop_repeated_passages(spark, single, "").collect()
+    assert sorted(len(words(r["text"])) for r in cut if r["text"])[:6] in ([60] * 6, [60] * 5 + [61])
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.where("false"), "").count() == 0
