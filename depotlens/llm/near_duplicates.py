@@ -213,18 +213,20 @@ def _sizes_allow(one: str, other: str, percent: int) -> Column:
     return 100 * F.least(one, other) >= percent * F.greatest(one, other)
 
 
-def family_links(nodes: DataFrame, sets: DataFrame, percent: int, items: int = 1 << 18) -> DataFrame:
+def family_links(nodes: DataFrame, sets: DataFrame, percent: int, items: int = 1 << 18, most: int = 4096) -> DataFrame:
     """Links (a, b) across the components of each family, from (node, size, comp, family).
 
     A family is what meets in buckets, directly or over others. Nodes outside the family's largest component
-    are compared with all of the family, block by block of about ``items`` shingles, and every node returns one
+    are compared with all of the family, block by block of about ``items`` shingles and about ``most`` nodes a side, and every node returns one
     linked partner per component it is linked to: no pairs are listed, and no task holds a family.
     """
     groups = nodes.groupBy("family", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-    total = groups.groupBy("family").agg(F.sum("words").alias("all"), F.max_by("comp", F.struct("n", "comp")).alias("most"))
-    rest = groups.join(total, "family").where("comp <> most").groupBy("family", "all", "most").agg(F.sum("words").alias("some"))
-    count = lambda c: F.ceil(F.col(c) / F.lit(items)).cast("long")
-    sizes = rest.select("family", "most", count("some").alias("n_i"), count("all").alias("n_j"))
+    total = groups.groupBy("family").agg(F.sum("words").alias("all"), F.sum("n").alias("n_all"), F.max_by("comp", F.struct("n", "comp")).alias("most"))
+    rest = groups.join(total, "family").where("comp <> most").groupBy("family", "all", "n_all", "most")
+    rest = rest.agg(F.sum("words").alias("some"), F.sum("n").alias("n_some"))
+    # Nodes are spread by hash: blocks are planned a tenth smaller.
+    count = lambda words, n: F.ceil(F.greatest(F.col(words) / F.lit(items), F.col(n) / F.lit(0.9 * most))).cast("long")
+    sizes = rest.select("family", "most", count("some", "n_some").alias("n_i"), count("all", "n_all").alias("n_j"))
     placed = nodes.join(sizes, "family").join(sets, "node")
     spread = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))

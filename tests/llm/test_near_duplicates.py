@@ -1,7 +1,10 @@
 import random
 
+import pyarrow as pa
 from conftest_llm import words
+from pyspark.sql import functions as F
 
+from depotlens.llm import near_duplicates as module
 from depotlens.llm import queries
 from depotlens.llm.near_duplicates import near_duplicates
 
@@ -84,3 +87,22 @@ def test_query_equals_brute_force(spark, sf_dir):
     want = brute(rows, 2)
     assert got == want
     assert len({c for _, c in want.values()}) < len(want)
+
+
+def test_blocks_of_short_texts_are_bounded_by_documents(spark, monkeypatch):
+    """A family of many tiny sets: blocks hold few documents a side, and every pair of them meets once."""
+
+    def sizes(percent):
+        def count(table):
+            side = table.column("side").to_pylist()
+            return pa.table({"a": [side.count(0)], "b": [side.count(1)]})
+
+        return count
+
+    n = 10_000
+    nodes = spark.range(n).select(F.col("id").alias("node"), F.lit(2).cast("long").alias("size"), F.col("id").alias("comp"), F.lit(0).cast("long").alias("family"))
+    sets = nodes.select("node", F.array(F.lit(-1).cast("long"), "node").alias("items"))
+    monkeypatch.setattr(module, "_compare_blocks", sizes)
+    blocks = module.family_links(nodes, sets, 80).collect()
+    assert all(r["a"] <= 4096 and r["b"] <= 4096 for r in blocks)
+    assert sum(r["a"] * r["b"] for r in blocks) == (n - 1) * n
