@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import chat, katz, mixing, near_duplicates, packing, quality, sharding, substrings, token_counts, vectors
+from depotlens.llm import (
+    chat, katz, mixing, near_duplicates, packing, phrases, quality, sharding, substrings, token_counts, vectors,
+)
 from depotlens.llm.literals import literal_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +88,10 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_by_section(documents(spark, sf_dir), tokenizer_path())
 
 
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_source_mix": op2_source_mix,
@@ -97,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_shards": op9_shards,
     "op10_token_counts": op10_token_counts,
+    "op11_collocations": op11_collocations,
 }
 
 # The mix: shares by weight with caps, then a line of words per source in the order of a seeded hash.
@@ -178,6 +185,40 @@ FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = ve
 """
 
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang
+), grams AS (
+  SELECT lang, unnest(list_transform(range(1, len(w) + 2 - size), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase, size
+  FROM split, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size
+), counted AS (
+  SELECT lang, phrase, size, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+  SELECT lang, phrase, size, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM counted WHERE size > 1)
+), scored AS (
+  SELECT c.*, l.a AS l, r.a AS r, (1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM cuts c JOIN counted l ON l.lang = c.lang AND l.phrase = c.first JOIN counted r ON r.lang = c.lang AND r.phrase = c.rest
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), kept AS (
+  SELECT * FROM lowest c WHERE NOT EXISTS (
+    SELECT 1 FROM counted t WHERE c.size = 2 AND t.size = 3 AND t.lang = c.lang AND 100 * t.a >= 50 * c.a
+      AND (starts_with(t.phrase, c.phrase || ' ') OR ends_with(t.phrase, ' ' || c.phrase)))
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def _op4_sql() -> str:
     listed = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in quality.WORD_LISTS.items())
     known = ", ".join(f"'{k}'" for k in quality.COMMON_WORDS)
@@ -245,4 +286,10 @@ FROM judged
 """
 
 
-ORACLES: dict[str, str] = {"op4_quality_rules": _op4_sql(), "op6_vector_dedup": OP6_SQL, "op8_chat_format": OP8_SQL, "op2_source_mix": OP2_SQL}
+ORACLES: dict[str, str] = {
+    "op2_source_mix": OP2_SQL,
+    "op4_quality_rules": _op4_sql(),
+    "op6_vector_dedup": OP6_SQL,
+    "op8_chat_format": OP8_SQL,
+    "op11_collocations": OP11_SQL,
+}
