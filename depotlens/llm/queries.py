@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.llm import (
-    chat, katz, mixing, near_duplicates, packing, phrases, quality, sharding, substrings, token_counts, vectors,
+    best_fit, chat, katz, mixing, near_duplicates, packing, phrases, quality, sharding, substrings, token_counts, vectors,
 )
 from depotlens.llm.literals import literal_table
 
@@ -92,6 +92,11 @@ def op11_collocations(spark, sf_dir):
     return phrases.collocations(documents(spark, sf_dir))
 
 
+def op12_best_fit_packing(spark, sf_dir):
+    packed = best_fit.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_source_mix": op2_source_mix,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op9_shards": op9_shards,
     "op10_token_counts": op10_token_counts,
     "op11_collocations": op11_collocations,
+    "op12_best_fit_packing": op12_best_fit_packing,
 }
 
 # The mix: shares by weight with caps, then a line of words per source in the order of a seeded hash.
