@@ -361,8 +361,11 @@ def collocations(
     filter_bytes: int = 1 << 26,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's best phrases; the score is in millionths."""
-    spark = docs.sparkSession
-    counted, totals = frequent_phrases(docs, max_words, least, counters, filter_bytes)
+    return rank_phrases(*frequent_phrases(docs, max_words, least, counters, filter_bytes), inside, top)
+
+
+def rank_phrases(counted: DataFrame, totals: DataFrame, inside: int = 50, top: int = 2000) -> DataFrame:
+    """The best phrases by the exact counts (lang, words, phrase, a) of all frequent n-grams, and the words per language."""
     phrases = counted.where("words > 1")
 
     # Every part of a frequent phrase is frequent, so its count is in the same table.
@@ -384,7 +387,7 @@ def collocations(
 
     # Ranked within shares of a language first, so no task sorts a language.
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    share = F.pmod(F.xxhash64("phrase"), F.lit(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    share = F.pmod(F.xxhash64("phrase"), F.lit(int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     best = kept.withColumn("share", share)
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("rank") <= top)
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)

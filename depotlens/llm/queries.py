@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.llm import (
-    best_fit, chat, katz, mixing, near_duplicates, packing, phrases, quality, sharding, substrings, token_counts, vectors,
+    best_fit, chat, katz, mixing, near_duplicates, packing, phrases, prefix_trie, quality, sharding, substrings, token_counts, vectors,
 )
 from depotlens.llm.literals import literal_table
 
@@ -97,6 +97,11 @@ def op12_best_fit_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op13_prefix_trie(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.prefix_trie(prefix_trie.shared_starts(rows))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_source_mix": op2_source_mix,
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
     "op11_collocations": op11_collocations,
     "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 # The mix: shares by weight with caps, then a line of words per source in the order of a seeded hash.
@@ -225,6 +231,49 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang
 """
 
 
+OP13_SQL = """
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))
+), turns AS (
+  SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS k, list(chars ORDER BY turn NULLS FIRST, k) AS chars
+  FROM (SELECT conv_id, turn, len(coalesce(text, '')) AS chars,
+               md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+        FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id
+), hashed AS (
+  SELECT turns.*, list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)) AS bytes, t
+  FROM turns, crc_table
+), started AS (
+  SELECT conv_id, k, chars,
+         xor(4294967295, list_reduce(bytes, lambda c, b: xor(c >> 8, t[1 + xor(c & 255, b)]))) % 6 AS h
+  FROM hashed
+), rebuilt AS (
+  SELECT s.conv_id, list_concat(coalesce(b.k[1:h], []), s.k[h + 1:]) AS k,
+         list_concat(coalesce(b.chars[1:h], []), s.chars[h + 1:]) AS chars
+  FROM started s LEFT JOIN turns b ON b.conv_id = s.conv_id - s.conv_id % 100
+), members AS (
+  SELECT conv_id, len(k) AS size, d, k[1:d] AS path, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS last
+  FROM (SELECT *, unnest(range(0, len(k) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(last) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256
+  FROM members GROUP BY d, path
+), families AS (
+  SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), counted AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN families USING (d, path)
+), subtrees AS (
+  SELECT path[1:up] AS path, up AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM counted) GROUP BY ALL
+)
+SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees s ON s.d = c.d AND s.path = c.path
+LEFT JOIN nodes p ON p.d = c.d - 1 AND p.path = c.path[1:c.d - 1]
+"""
+
+
 def _op4_sql() -> str:
     listed = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in quality.WORD_LISTS.items())
     known = ", ".join(f"'{k}'" for k in quality.COMMON_WORDS)
@@ -298,4 +347,5 @@ ORACLES: dict[str, str] = {
     "op6_vector_dedup": OP6_SQL,
     "op8_chat_format": OP8_SQL,
     "op11_collocations": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
