@@ -25,10 +25,14 @@ def plain(rows, max_words=3, least=10, inside=50, top=2000):
     out = []
     for lang, own in counts.items():
         found = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        around = Counter()
+        for q, a in found.items():
+            for n in range(2, len(q)):
+                for i in range(len(q) - n + 1):
+                    around[q[i : i + n]] = max(around[q[i : i + n]], a)
         kept = []
         for p, a in found.items():
-            longer = [q for q in found if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))]
-            if any(100 * found[q] >= inside * a for q in longer):
+            if p in around and 100 * around[p] >= inside * a:
                 continue
             score, _, l, r = min((1000000 * a * a // (own[p[:k]] * own[p[k:]]), k, own[p[:k]], own[p[k:]]) for k in range(1, len(p)))
             kept.append((-score, -a, " ".join(p).encode(), l, r))

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 from hashlib import md5, sha256
 
 import numpy as np
@@ -37,14 +38,17 @@ def plain_trie(convs):
     for path in members:
         if path:
             children.setdefault(path[:-1], []).append(path)
-    rows = set()
+    leaves, saved, rows = Counter(), Counter(), set()
+    for path, inside in members.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += path not in children
+            saved[path[:d]] += (len(inside) - 1) * len(path[-1][1]) if path else 0
     for path, inside in members.items():
-        under = [p for p in members if p[: len(path)] == path]
         ends = ",".join(str(c) for c in sorted(inside) if len(convs[c]) == len(path))
         rows.add((
             min(inside), len(path), min(members[path[:-1]]) if path else None, len(inside), len(children.get(path, [])),
-            sum(p not in children for p in under),
-            sum((len(members[p]) - 1) * len(p[-1][1]) for p in under if p),
+            leaves[path],
+            saved[path],
             sha256(ends.encode()).hexdigest(),
         ))
     return rows
@@ -64,7 +68,7 @@ def conversations(seed, n=260):
     rng = np.random.default_rng(seed)
     rows = []
     for c in range(-5, n):
-        if rng.random() < 0.15:
+        if c == 100 or rng.random() < 0.15:
             continue
         alike = rng.random() < 0.4
         for t in range(3 if alike else rng.integers(1, 9)):
