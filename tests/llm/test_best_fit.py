@@ -40,7 +40,7 @@ def held(rows, capacity):
 def test_ids_are_those_of_the_tokenizer(tokenizer, texts):
     import pyarrow as pa
 
-    odd = ["Å B", "x ́y", "İstanbul ΣΑΣ a", " a b　c", "it's 'S 12ab", "  lead", "trail \n", "\x1c a\x85b"]
+    odd = ["Å B", "x ́y", "İstanbul ΣΑΣ a", " a b　c", "it's 'S 12ab", "  lead", "trail \n", "\x1c a\x85b", "a!\x1c!b", "don't 'tis !'s rock'n'roll", "x1y22z_A-B", "Ünï-12.5%'s", "\u0301 \u0301a"]
     encoder = best_fit.WordIds(PATH, most=40)
     assert encoder.cuts
     whole = best_fit.WordIds(PATH)
