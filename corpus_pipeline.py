@@ -2,16 +2,47 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; it is written as Parquet and read again as the
 next stage's documents. All stages but the last return the columns of ``documents``.
+
+A stage begins when the one before is written, so it first gives back what that one left: its scratch tables, and the
+shuffle files of finished jobs. A stage's own scratch has to stay until its result is written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.llm import mixing, near_duplicates, packing, quality, substrings
 from depotlens.llm.queries import documents, tokenizer_path
-from depotlens.session import materialize
+from depotlens.llm.storage import drop_written, release_shuffles
+from depotlens.session import drop_paths, materialize, recorded_scratch
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Scratch of the last stage begun, per application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def stage(first: bool = False) -> Callable[[Stage], Stage]:
+    """A stage that gives back its predecessor's scratch; the first one leaves earlier runs alone."""
+
+    def tidy(work: Stage) -> Stage:
+        @wraps(work)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            app = spark.sparkContext.applicationId
+            if not first:
+                drop_paths(spark, _SCRATCH.get(app, []))
+                release_shuffles(spark)
+            with recorded_scratch() as made:
+                out = work(spark, docs, sf_dir)
+            _SCRATCH[app] = made
+            return out
+
+        return run_stage
+
+    return tidy
 
 
 def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -21,11 +52,13 @@ def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*columns)
 
 
+@stage(first=True)
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality.judge(docs).where("kept").select(*docs.columns)
 
 
+@stage()
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates (five-word shingles, similarity 0.8) stays, and all without words.
 
@@ -40,17 +73,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rows.join(first, "_row", "left_semi").select(*docs.columns)
 
 
+@stage()
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 35 words or more that occur again anywhere are cut out; every document stays."""
     return _counted(substrings.remove_repeats(docs), docs.columns)
 
 
+@stage()
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source's words come to its target: documents are left out or repeated, one per source is cut."""
     mixed, _ = mixing.mix(docs)
     return _counted(mixing.repeat_taken(mixed), docs.columns)
 
 
+@stage()
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the encoded documents and their places in sequences of at most 2048 tokens."""
     return packing.pack_documents(docs, tokenizer_path())
@@ -69,7 +105,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    for number, (_, stage) in enumerate(STAGES, 1):
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{number}")
+    docs, before = documents(spark, sf_dir), None
+    for number, (_, work) in enumerate(STAGES, 1):
+        docs = materialize(work(spark, docs, sf_dir), f"stage-{number}")
+        if before is not None:
+            drop_written(before)  # the stage behind it is written
+        before = docs
     return docs

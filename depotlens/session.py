@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +19,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_RECORDED: ContextVar[list[str] | None] = ContextVar("recorded_scratch", default=None)
+
 
 def build_session(app_name: str = "depotlens", master: str | None = None, **extra: str) -> SparkSession:
     """Get or create a session; on a cluster the master and sizes come from spark-submit."""
@@ -50,10 +55,36 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Unlike a cache it survives the loss of executors, and unlike an RDD checkpoint its readers keep
     column pruning, filter pushdown and known sizes.
     """
-    spark = df.sparkSession
-    path = f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared checkpoint folder; noted where scratch is recorded."""
+    path = f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    recorded = _RECORDED.get()
+    if recorded is not None:
+        recorded.append(path)
+    return path
+
+
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """The scratch paths given out inside the block, for ``drop_paths`` once nothing reads them any more."""
+    paths: list[str] = []
+    token = _RECORDED.set(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDED.reset(token)
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -62,5 +93,4 @@ def _scratch(spark: SparkSession) -> str:
 
 def drop_materialized(spark: SparkSession) -> None:
     """Remove what this application materialized; frames that still read it must be finished."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_paths(spark, [_scratch(spark)])
