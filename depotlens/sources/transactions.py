@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from depotlens.config import EngineConfig
 from depotlens.schemas import TABLES, TRANSACTIONS
+from depotlens.session import materialize
+from depotlens.sources.workbook import CORRUPT, register
 
 # Column headers of the published log and their names here.
 LOG_HEADERS = {
@@ -24,10 +26,11 @@ LOG_HEADERS = {
 }
 
 
-def text_log_schema() -> T.StructType:
-    """Declared types of a CSV/JSON log: identifiers stay text, customer numbers may print as 17850.0."""
+def text_log_schema(line_column: str | None = None) -> T.StructType:
+    """Declared types of a text log: identifiers stay text, customer numbers may print as 17850.0."""
     kinds = {f.name: f.dataType for f in TRANSACTIONS} | {"customer_id": T.DoubleType()}
-    return T.StructType([T.StructField(header, kinds[name]) for header, name in LOG_HEADERS.items()])
+    fields = [T.StructField(header, kinds[name]) for header, name in LOG_HEADERS.items()]
+    return T.StructType(fields + ([T.StructField(line_column, T.LongType())] if line_column else []))
 
 
 def load_transactions(
@@ -35,15 +38,48 @@ def load_transactions(
 ) -> DataFrame:
     """The 8-column log plus ``line_no``.
 
-    CSV and JSON are read with a declared schema, never inferred. ``line_column`` names a column
+    CSV, JSON and workbooks are read with a declared schema, never inferred. ``line_column`` names a column
     that gives the position in the log; without one the position is the order of the file splits,
     which equals the line order of a single file.
     """
-    if fmt in ("csv", "json"):
-        reader = spark.read.schema(text_log_schema())
-        raw = reader.options(header=True, **options).csv(path) if fmt == "csv" else reader.options(**options).json(path)
+    if fmt in DECLARED:
+        raw = _declared(spark, path, fmt, text_log_schema(line_column), options)
     else:
         raw = spark.read.format(fmt).options(**options).load(path)
+    return _renamed(raw, line_column)
+
+
+#: Formats without types of their own.
+DECLARED = ("csv", "json", "workbook")
+
+
+def load_checked(
+    spark: SparkSession, path: str, fmt: str, line_column: str | None = None, **options: str
+) -> tuple[DataFrame, DataFrame]:
+    """The log without the rows that do not parse, and those rows as (line_no, raw): their text as it stands in the file.
+
+    A value that does not fit its declared type would be NULL otherwise, as if the log had none there.
+    """
+    if fmt not in DECLARED:
+        raise ValueError(f"{fmt} files have types of their own; a row cannot fail to parse")
+    schema = text_log_schema(line_column).add(CORRUPT, T.StringType())
+    raw = _declared(spark, path, fmt, schema, {**options, "columnNameOfCorruptRecord": CORRUPT})
+    position = (F.col(line_column) if line_column else F.monotonically_increasing_id()).cast("bigint").alias("line_no")
+    numbered = raw.select("*", position) if line_column != "line_no" else raw
+    bad = F.col(CORRUPT).isNotNull()
+    # Written with all columns: text files cannot be asked for the raw text of their bad rows alone.
+    malformed = materialize(numbered.where(bad), "malformed").select("line_no", F.col(CORRUPT).alias("raw"))
+    return _renamed(numbered.where(~bad), "line_no"), malformed
+
+
+def _declared(spark: SparkSession, path: str, fmt: str, schema: T.StructType, options: dict[str, str]) -> DataFrame:
+    if fmt == "workbook":
+        register(spark)
+    header = {"header": "true"} if fmt == "csv" else {}
+    return spark.read.format(fmt).schema(schema).options(**header, **options).load(path)
+
+
+def _renamed(raw: DataFrame, line_column: str | None) -> DataFrame:
     position = F.col(line_column) if line_column else F.monotonically_increasing_id()
     renamed = raw.withColumnsRenamed(LOG_HEADERS)
     return renamed.select(
