@@ -163,8 +163,9 @@ def inventory_health_by_store(analysis: DataFrame, stores: DataFrame) -> DataFra
 
 
 def worst_stockouts(analysis: DataFrame, stores: DataFrame, n: int = 10) -> DataFrame:
-    worst = analysis.orderBy(F.desc("stockout_days"), "store_id", "stock_code").limit(n)
-    return _with_store(worst, stores).select("store_name", "stock_code", "stockout_days")
+    # Sorted last: a join behind the limit may stream either side and lose the order.
+    named = _with_store(analysis, stores).orderBy(F.desc("stockout_days"), "store_id", "stock_code").limit(n)
+    return named.select("store_name", "stock_code", "stockout_days")
 
 
 def profit_months(profitability: DataFrame) -> DataFrame:
