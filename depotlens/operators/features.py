@@ -66,8 +66,13 @@ def train_rows(features: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def test_rows(features: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Rows of the test window: from ``test_start`` on, for ``test_days`` days if that is set."""
+    """Rows of the test window: from ``test_start`` on, for ``test_days`` days if that is set.
+
+    A day behind the window would be neither trained on nor tested, so it is an error when the rows are read.
+    """
     rows = features.where(F.col("snapshot_date") >= F.lit(cfg.test_start))
     if cfg.test_days is None:
         return rows
-    return rows.where(F.col("snapshot_date") < F.date_add(F.lit(cfg.test_start), cfg.test_days))
+    inside = F.col("snapshot_date") < F.date_add(F.lit(cfg.test_start), cfg.test_days)
+    late = F.concat(F.lit("a day behind the test window, set test_start or test_days: "), F.col("snapshot_date").cast("string"))
+    return rows.where(F.when(inside, F.lit(True)).otherwise(F.raise_error(late).cast("boolean")))

@@ -9,12 +9,14 @@ from datetime import date, datetime, timedelta
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from depotlens.config import EngineConfig
+from depotlens.operators.boosting import BoostingSettings, HistogramBoosting
+from depotlens.operators.neural import NetworkSettings, NeuralRegressor
 from depotlens.operators.panel import PAIR
 from depotlens.session import ensure_checkpoint_dir
 
@@ -33,19 +35,13 @@ def feature_stages(cfg: EngineConfig) -> list[Estimator]:
     ]
 
 
-def boosted_trees(cfg: EngineConfig) -> GBTRegressor:
-    return GBTRegressor(
-        labelCol=TARGET,
-        featuresCol="features",
-        maxIter=cfg.trees,
-        maxDepth=cfg.tree_depth,
-        stepSize=cfg.learning_rate,
-        seed=cfg.seed,
-    )
+def boosted_trees(cfg: EngineConfig) -> HistogramBoosting:
+    settings = BoostingSettings(rounds=cfg.trees, depth=cfg.tree_depth, rate=cfg.learning_rate)
+    return HistogramBoosting(settings, labelCol=TARGET, featuresCol="features")
 
 
 def train_forecast(train: DataFrame, cfg: EngineConfig, regressor: Estimator | None = None) -> PipelineModel:
-    ensure_checkpoint_dir(train.sparkSession)  # boosting cuts its growing lineage there
+    ensure_checkpoint_dir(train.sparkSession)  # fits keep their blocks of rows there
     columns = [*cfg.numeric_features, *cfg.categorical_features, TARGET]
     rows = train.select(*columns).persist()  # every fitting pass reads the same rows
     try:
@@ -133,6 +129,7 @@ def default_candidates(cfg: EngineConfig) -> list[Candidate]:
     columns = {"labelCol": TARGET, "featuresCol": "features"}
     return [
         Candidate("gbt_1", "GBM", boosted_trees(cfg)),
+        Candidate("nn_1", "DeepLearning", NeuralRegressor(NetworkSettings(seed=cfg.seed), **columns)),
         Candidate(
             "drf_1", "DRF", RandomForestRegressor(numTrees=50, maxDepth=10, seed=cfg.seed, **columns)
         ),
@@ -151,10 +148,19 @@ class SearchResult:
         return self.models[self.leader_id]
 
     def save(self, directory: str) -> list[str]:
+        """Store every fitted model; of an ensemble, the weights of its members."""
         paths = []
         for model_id, model in self.models.items():
-            model.write().overwrite().save(f"{directory}/{model_id}")
-            paths.append(f"{directory}/{model_id}")
+            path = f"{directory}/{model_id}"
+            if isinstance(model, PipelineModel):
+                model.write().overwrite().save(path)
+            elif hasattr(model, "weights"):
+                rows = [(name, float(weight)) for name, weight in model.weights.items()]
+                board = self.leaderboard.sparkSession.createDataFrame(rows, "model_id string, weight double")
+                board.coalesce(1).write.mode("overwrite").json(path)
+            else:
+                continue
+            paths.append(path)
         return paths
 
 
@@ -197,8 +203,14 @@ def model_search(
         kept = spark.createDataFrame(scores.collect(), scores.schema)
     finally:
         fold.unpersist()
+    board, leader_id = leaderboard(kept, sort_metric, project_name, run_ts)
+    return SearchResult(board, leader_id, models)
+
+
+def leaderboard(scores: DataFrame, sort_metric: str, project_name: str, run_ts: datetime) -> tuple[DataFrame, str]:
+    """The board of (model_id, algorithm, metrics) in the table's columns, and the leader's id."""
     nothing = F.lit(None).cast("double")
-    ranked = rank_models(kept, sort_metric)
+    ranked = rank_models(scores, sort_metric)
     board = ranked.select(
         "model_id",
         "algorithm",
@@ -214,8 +226,7 @@ def model_search(
         F.lit(project_name).alias("project_name"),
         F.lit(run_ts).cast("timestamp").alias("trained_at"),
     )
-    leader_id = ranked.where("is_leader").first()["model_id"]
-    return SearchResult(board, leader_id, models)
+    return board, ranked.where("is_leader").first()["model_id"]
 
 
 def leader_summary(result: SearchResult, test: DataFrame, project_name: str = "demand_model_search") -> DataFrame:
