@@ -16,7 +16,7 @@ from dataclasses import replace
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from depotlens.plans.daily_run import run_pipeline  # noqa: E402
-from depotlens.plans.queries import CFG, QUERIES, RUN_TS  # noqa: E402
+from depotlens.plans.queries import CFG, QUERIES, RUN_TS, fit_demand_model  # noqa: E402
 from depotlens.session import build_session  # noqa: E402
 from depotlens.sources.sales_log import sales_log  # noqa: E402
 
@@ -51,7 +51,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    names = [n for n in os.environ.get("BENCH_QUERIES", ",".join([*HEADLINE, "full_run"])).split(",") if n]
+    names = [n for n in os.environ.get("BENCH_QUERIES", ",".join([*HEADLINE, "fit", "full_run"])).split(",") if n]
     spark = build_session(
         "depotlens-bench",
         f"local[{cpus}]",
@@ -67,7 +67,9 @@ def main() -> None:
     seconds = {}
     for name in names:
         began = time.perf_counter()
-        if name == "full_run":
+        if name == "fit":
+            fit_demand_model(spark, sf_dir)
+        elif name == "full_run":
             # The same scope as the reference's first full run: log to checked tables, marts, model and policies.
             root = tempfile.mkdtemp(prefix="depotlens-bench-")
             cfg = replace(CFG, max_invalid_ratio=0.05)

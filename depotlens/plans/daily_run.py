@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.config import EngineConfig
-from depotlens.operators import conform, constraints, features, forecast, marts, panel, policy, reporting
+from depotlens.operators import conform, constraints, features, forecast, marts, panel, policy, reporting, stacking
 from depotlens.operators.cleaning import clean_transactions, route_orders
 from depotlens.operators.validation import VIOLATIONS, ValidationReport, validate_transactions
 from depotlens.schemas import TABLES
 from depotlens.session import build_session, drop_materialized
-from depotlens.sources.transactions import export_csv, export_json, load_transactions, stores_table
+from depotlens.sources.transactions import (
+    DECLARED, export_csv, export_json, land_raw, load_checked, load_transactions, stores_table,
+)
 from depotlens.sources.upsert import TableStore
 
 log = logging.getLogger(__name__)
@@ -127,10 +129,10 @@ class DailyRun:
         return forecast.run_summary(train, test).first().asDict()
 
     def search(self) -> DataFrame:
-        """Model search over the features of this run: leaderboard, saved models and the leader's summary."""
+        """Search by rolling origins over the features of this run: leaderboard, saved models, the leader's summary."""
         featured = self.spark.read.parquet(f"{self.work}/demand_features")
         train, test = features.train_rows(featured, self.cfg), features.test_rows(featured, self.cfg)
-        result = forecast.model_search(train, self.cfg, self.run_ts)
+        result = stacking.rolling_search(train, self.cfg, self.run_ts)
         self._load("automl_leaderboard", result.leaderboard)
         result.save(f"{self.work}/models")
         export_csv(test, f"{self.work}/test_frame")
@@ -196,13 +198,19 @@ def run_pipeline(
 def main() -> None:
     parser = argparse.ArgumentParser(description="Run the daily batch over a transaction log.")
     parser.add_argument("--log", required=True, help="path of the transaction log")
-    parser.add_argument("--format", default="parquet", choices=("parquet", "csv", "json", "orc"))
+    parser.add_argument("--format", default="parquet", choices=("parquet", "orc", *DECLARED))
     parser.add_argument("--root", required=True, help="folder of the engine's tables")
     parser.add_argument("--search", action="store_true", help="also run the model search")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = build_session("depotlens-daily-run")
-    result = run_pipeline(spark, load_transactions(spark, args.log, args.format), args.root, with_search=args.search)
+    run_ts = datetime.now(timezone.utc)
+    if args.format in DECLARED:
+        transactions, malformed = load_checked(spark, args.log, args.format)
+        land_raw(malformed, args.root, run_ts, "malformed")
+    else:
+        transactions = load_transactions(spark, args.log, args.format)
+    result = run_pipeline(spark, transactions, args.root, run_ts=run_ts, with_search=args.search)
     log.info("loaded %s", result.loaded)
     log.info("metrics %s, quality %s", result.metrics, result.quality)
     drop_materialized(spark)

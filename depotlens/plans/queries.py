@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from depotlens.config import EngineConfig
-from depotlens.operators import conform, constraints, features, forecast, marts, panel, policy, reporting
+from depotlens.operators import conform, constraints, features, forecast, marts, panel, policy, reporting, stacking
 from depotlens.operators.cleaning import clean_transactions, route_orders
-from depotlens.operators.validation import validate_transactions
+from depotlens.operators.validation import Rules, validate, validate_transactions
 from depotlens.schemas import TABLES
-from depotlens.session import materialize
+from depotlens.session import materialize, scratch_path
 from depotlens.sources.sales_log import sales_log
-from depotlens.sources.transactions import stores_table
+from depotlens.sources.transactions import LOG_HEADERS, load_transactions, stores_table
 from depotlens.sources.upsert import keep_last, merge_rows
+from depotlens.sources.workbook import register
 
 # The given tables end on 2001-08-01; this date leaves 56 test days.
 CFG = EngineConfig(test_start=date(2001, 6, 7))
@@ -29,7 +30,6 @@ RUN_TS = datetime(2001, 8, 2, tzinfo=timezone.utc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _MODELS = {CFG.model_name: forecast.PREDICTION, CFG.baseline_name: "seasonal_naive_pred"}
-_FITTED: dict[tuple[str, str], DataFrame] = {}
 
 
 #: The columns of a line that items, orders and products are made of.
@@ -272,14 +272,16 @@ def q_stacked_predictions(spark, sf):
     return rounded(forecast.stack_predictions(test, names), "predicted_demand")
 
 
+def fit_demand_model(spark, sf):
+    """The model fitted on the training rows, and the test rows."""
+    rows = materialize(Workspace(spark, sf, "type", shared=True).features, "demand_features")
+    return forecast.train_forecast(features.train_rows(rows, CFG), CFG), features.test_rows(rows, CFG)
+
+
 def _scored(spark, sf):
-    """The test rows with the model's prediction; one fit per session and folder serves all queries that need it."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FITTED:
-        rows = materialize(Workspace(spark, sf, "type", shared=True).features, "demand_features")
-        train, test = features.train_rows(rows, CFG), features.test_rows(rows, CFG)
-        _FITTED[key] = materialize(forecast.predict(forecast.train_forecast(train, CFG), test), "scored")
-    return _FITTED[key]
+    """The test rows with the prediction of a model fitted for them."""
+    model, test = fit_demand_model(spark, sf)
+    return materialize(forecast.predict(model, test), "scored")
 
 
 def _only(name: str, column: str) -> Column:
@@ -340,13 +342,42 @@ def q_ranked_models(spark, sf):
 
 
 def q_leaderboard(spark, sf):
-    """The ranks of the model search, with what holds for any fit: sorted by error, sound metrics, one leader."""
+    """The board of the model search; for the figures, what holds for any fit: ranked by error, sound, one leader."""
     rows = materialize(Workspace(spark, sf, "type", shared=True).features, "demand_features")
     board = forecast.model_search(features.train_rows(rows, CFG), CFG, RUN_TS).leaderboard
-    before = F.lag("mae").over(Window.orderBy("rank"))  # one row per candidate
-    ordered = F.coalesce(F.col("mae") >= before, F.lit(True))
+    before, after = (f("mae").over(Window.orderBy("rank")) for f in (F.lag, F.lead))  # one row per candidate
+    ordered = F.coalesce(F.col("mae") >= before, F.lit(True)) & F.coalesce(F.col("mae") <= after, F.lit(True))
+    leads = F.col("is_leader") == (F.col("rank") == 1)
     sound = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & (F.abs(F.col("rmse") ** 2 - F.col("mse")) < 1e-6)
-    return board.select("rank", "is_leader", ordered.alias("ordered"), sound.alias("sound"), "target_column")
+    flags = [ordered.alias("ordered"), leads.alias("leads"), sound.alias("sound")]
+    return board.select("model_id", "algorithm", *flags, "target_column", "project_name")
+
+
+_BASELINES = [
+    forecast.Candidate("seasonal", "Baseline", stacking.ColumnForecast("seasonal_naive_pred")),
+    forecast.Candidate("weekly_mean", "Baseline", stacking.ColumnForecast("rolling_mean_7")),
+]
+
+
+def _baselines_out_of_fold(spark, sf):
+    rows = features.train_rows(Workspace(spark, sf, "type", shared=True).features, CFG)
+    return stacking.out_of_fold(rows, CFG, _BASELINES)
+
+
+def q_out_of_fold(spark, sf):
+    """The days of the rolling folds with both baselines' forecasts."""
+    return rounded(_baselines_out_of_fold(spark, sf), "seasonal", "weekly_mean")
+
+
+def q_stacked_baselines(spark, sf):
+    """Per model the error over all folds, of the baselines and of their non-negative combination, and the final weights."""
+    found = _baselines_out_of_fold(spark, sf)
+    scores = stacking.score_candidates(found, _BASELINES, 3).select("model_id", "algorithm", "mae", "rmse")
+    weights = stacking.stack_weights(found, [c.model_id for c in _BASELINES])
+    weight = F.lit(None).cast("double")
+    for name, value in weights.items():
+        weight = F.when(F.col("model_id") == name, F.lit(value)).otherwise(weight)
+    return rounded(scores.withColumn("weight", weight), "mae", "rmse", "weight")
 
 
 # -- policies -------------------------------------------------------------------------------------
@@ -388,8 +419,9 @@ def q_restock_distribution(spark, sf):
 
 def q_policy_with_model(spark, sf):
     """Both policies on the model's stored forecast: the fixed policy's figures, and whether the other's are sound."""
-    stacked = forecast.stack_predictions(_scored(spark, sf), _MODELS)
-    test = policy.with_stored_forecast(_scored(spark, sf).drop(forecast.PREDICTION), stacked, CFG.model_name)
+    scored = _scored(spark, sf)
+    stacked = forecast.stack_predictions(scored, _MODELS)
+    test = policy.with_stored_forecast(scored.drop(forecast.PREDICTION), stacked, CFG.model_name)
     opening = policy.opening_stock(Workspace(spark, sf, "type").stored_snapshots, CFG)
     found = policy.compare_policies(test, forecast.PREDICTION, opening, CFG)
     fixed = F.col("policy_name") == CFG.fixed_policy
@@ -570,10 +602,38 @@ def q_constraint_report(spark, sf):
 
 
 def q_quality_report(spark, sf):
-    """The gates of a run, over the model's and the baseline's metrics."""
+    """The gates of a run over the model's and the baseline's metrics; the comparison's note is checked against them."""
     w = Workspace(spark, sf, "type", shared=True)
     evaluation = forecast.evaluate_forecast(forecast.stack_predictions(_scored(spark, sf), _MODELS))
-    return constraints.quality_report(w.items, w.orders, w.daily, evaluation, CFG)
+    evaluation = materialize(evaluation, "model_evaluation")
+    report = constraints.quality_report(w.items, w.orders, w.daily, evaluation, CFG)
+    mae = {r["model_name"]: r["mae"] for r in evaluation.collect()}  # two rows
+    wins = len(mae) == 2 and mae[CFG.model_name] < mae[CFG.baseline_name]
+    agrees = F.col("status") == F.lit("model_beats_baseline" if wins else "baseline_not_beaten")
+    status = F.when(F.col("check_name") == "model_versus_baseline", agrees.cast("string")).otherwise(F.col("status"))
+    return report.withColumn("status", status)
+
+
+def q_status_rules(spark, sf):
+    """Counts per rule of a rule set with allowed values, ranges and required columns over the order lines."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    rules = Rules(
+        required_columns=("l_orderkey", "l_returnflag", "l_linestatus"),
+        not_null_columns=("l_orderkey",),
+        numeric_ranges={"l_discount": (0.0, 0.05)},
+        allowed_values={"l_returnflag": ("N", "R"), "l_linestatus": ("F", "O")},
+    )
+    return validate(lines, rules).report_frame()
+
+
+def q_workbook_log(spark, sf):
+    """The log written as spreadsheet workbooks and read back from them."""
+    folder = scratch_path(spark, "workbooks")
+    log = sales_log(spark, sf, "part")
+    named = log.withColumnsRenamed({name: header for header, name in LOG_HEADERS.items()})
+    register(spark)
+    named.write.format("workbook").mode("overwrite").save(folder)
+    return load_transactions(spark, folder, "workbook", line_column="line_no", rows_per_partition="25000")
 
 
 def q_upsert_merge(spark, sf):
@@ -632,6 +692,8 @@ QUERIES: dict[str, Query] = {
     "forecast_evaluation": q_forecast_evaluation,
     "ranked_models": q_ranked_models,
     "leaderboard": q_leaderboard,
+    "out_of_fold": q_out_of_fold,
+    "stacked_baselines": q_stacked_baselines,
     "opening_stock": q_opening_stock,
     "policy_comparison": q_policy_comparison,
     "policy_totals": q_policy_totals,
@@ -674,4 +736,6 @@ QUERIES: dict[str, Query] = {
     "upsert_merge": q_upsert_merge,
     "upsert_partial_columns": q_upsert_partial_columns,
     "last_price": q_last_price,
+    "status_rules": q_status_rules,
+    "workbook_log": q_workbook_log,
 }

@@ -19,6 +19,8 @@ DENSE = {
     "forecast_predictions",
     "forecast_split",
     "leaderboard",
+    "out_of_fold",
+    "stacked_baselines",
     "one_hot_positions",
     "policy_change",
     "policy_comparison",
