@@ -14,7 +14,7 @@ new place and only then makes them current:
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import date, datetime
 from typing import Any
 
@@ -148,6 +148,13 @@ class TableStore:
             return rows.select(*table.columns)
         return self.spark.read.schema(table.schema).parquet(f"{self.root}/{table.name}/v{self._versions(table)[-1]}")
 
+    def read_months(self, table: Table, months: Iterable[date]) -> DataFrame:
+        """The current rows of the given months (their first days); no other month's files are listed or read."""
+        self.recover(table)
+        if not self.exists(table):
+            return self.spark.createDataFrame([], table.schema)
+        return self._read_months(table).where(F.col(MONTH).isin(list(months))).select(*table.columns)
+
     def _read_months(self, table: Table) -> DataFrame:
         schema = T.StructType([*table.schema.fields, T.StructField(MONTH, T.DateType())])
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table.name}")

@@ -7,6 +7,8 @@ rebuilt from all of its lines and not from the new ones alone.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 from depotlens.config import EngineConfig
 from depotlens.operators import conform
 from depotlens.operators.cleaning import clean_transactions, route_orders
+from depotlens.operators.increments import IncrementalMarts
 from depotlens.operators.validation import validate_transactions
 from depotlens.schemas import TABLES, TRANSACTIONS
 from depotlens.session import materialize
+from depotlens.sources.transactions import stores_table
 from depotlens.sources.upsert import TableStore
 
 
@@ -27,22 +31,25 @@ def valid_lines(log: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 class OrderIngest:
-    def __init__(self, spark: SparkSession, landing: str, root: str, cfg: EngineConfig):
+    def __init__(self, spark: SparkSession, landing: str, root: str, cfg: EngineConfig, with_marts: bool = False):
         self.spark, self.landing, self.cfg = spark, landing.rstrip("/"), cfg
         self.store = TableStore(spark, root)
         self.lines = f"{self.store.root}/lines"
+        self.marts = IncrementalMarts(self.store, stores_table(spark, cfg), cfg) if with_marts else None
 
-    def load_batch(self, lines: DataFrame, batch_id: int) -> None:
+    def load_batch(self, lines: DataFrame, batch_id: int, run_ts: datetime | None = None) -> None:
         """Keep the new lines, then upsert the orders they touch. Repeating a batch writes the same rows again."""
         place = f"{self.lines}/batch={batch_id}"
         lines.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(place)
         fresh = self.spark.read.schema(lines.schema).parquet(place)
-        touched = fresh.unionByName(self._earlier_lines(fresh, batch_id))
-        for name, frame in (
-            ("orders", conform.build_orders(touched)),
-            ("order_items", conform.build_order_items(touched, self.cfg)),
-        ):
+        earlier = self._earlier_lines(fresh, batch_id)
+        touched = fresh.unionByName(earlier)
+        after = conform.build_order_items(touched, self.cfg)
+        for name, frame in (("orders", conform.build_orders(touched)), ("order_items", after)):
             self.store.upsert(TABLES[name], frame.select(*TABLES[name].columns))
+        if self.marts:
+            before = conform.build_order_items(earlier, self.cfg)
+            self.marts.apply(batch_id, before, after, run_ts or datetime.now(timezone.utc))
 
     def _earlier_lines(self, fresh: DataFrame, batch_id: int) -> DataFrame:
         """Lines of other batches on the same invoices; none, and no scan, if no invoice is known yet."""
