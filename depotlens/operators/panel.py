@@ -12,6 +12,7 @@ from pyspark.sql import Window
 
 from depotlens.config import EngineConfig
 from depotlens.functions.frames import fill_calendar
+from depotlens.operators.stretches import replay_stretches
 
 PAIR = ("store_id", "stock_code")
 
@@ -112,19 +113,22 @@ def demand_panel(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
     return densify_panel(top_demand(demand, cfg), cfg)
 
 
-def inventory_snapshots(demand: DataFrame, cfg: EngineConfig) -> DataFrame:
+def inventory_snapshots(demand: DataFrame, cfg: EngineConfig, stretches: bool = False) -> DataFrame:
     """The daily stock of the top products at every store that sold them, from daily demand.
 
     The stock can change only on a day with demand, so the days with demand are replayed and the stock is
     carried over the days between; before a pair's first demand it is the opening stock. That needs opening
-    and refill levels above zero, at which a day without demand never restocks.
+    and refill levels above zero, at which a day without demand never restocks. ``stretches`` replays parts of a series
+    side by side, for series that are too long for one task each.
     """
     if cfg.starting_stock <= 0 or cfg.par_level <= 0:
         raise ValueError("the opening stock and the par level have to be above zero")
     opening = F.lit(cfg.starting_stock).cast("bigint")
-    replayed = replay_balance(
-        top_demand(demand, cfg), PAIR, "snapshot_date", "units_demanded", opening, F.lit(cfg.par_level)
-    )
+    days = top_demand(demand, cfg)
+    if stretches:
+        replayed = replay_stretches(days, PAIR, "snapshot_date", "units_demanded", cfg.starting_stock, cfg.par_level)
+    else:
+        replayed = replay_balance(days, PAIR, "snapshot_date", "units_demanded", opening, F.lit(cfg.par_level))
     panel = _filled(replayed, carried={"stock_on_hand": opening}, own={"restocked": F.lit(False)})
     return panel.withColumn("is_synthetic", F.lit(True))
 
