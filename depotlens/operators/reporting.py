@@ -94,6 +94,27 @@ def measures(fact: DataFrame, names: Sequence[str], by: Sequence[str] = (), wher
     return rows.groupBy(*by).agg(*(measure(n) for n in names))
 
 
+def page(fact: DataFrame, visuals: Mapping[str, Sequence[str]], names: Sequence[str], where: Column | None = None) -> DataFrame:
+    """All visuals of a page in one pass: (visual, the grouping columns, measures), one row per group of each visual.
+
+    ``visuals`` maps a visual to the columns it groups by, () for a card. The fact is read and shuffled once, as
+    grouping sets; a slicer (``where``) holds for the whole page.
+    """
+    columns = list(dict.fromkeys(c for by in visuals.values() for c in by))
+    rows = fact if where is None else fact.where(where)
+    # A grouping id has a bit per column, the first column the highest, set where the column is summed over.
+    ids = {sum((c not in by) << (len(columns) - 1 - i) for i, c in enumerate(columns)): by for by in visuals.values()}
+    if not columns:
+        found = rows.agg(*(measure(n) for n in names), F.lit(0).alias("_id"))
+    else:
+        sets = [[F.col(c) for c in by] for by in ids.values()]
+        found = rows.groupingSets(sets, *map(F.col, columns)).agg(*(measure(n) for n in names), F.grouping_id().alias("_id"))
+    of = {name: next(i for i, by in ids.items() if set(by) == set(wanted)) for name, wanted in visuals.items()}
+    shown = F.array(*(F.struct(F.lit(name).alias("visual"), F.lit(i).alias("id")) for name, i in of.items()))
+    shown = F.filter(shown, lambda v: v["id"] == F.col("_id"))
+    return found.withColumn("_v", F.explode(shown)).select("_v.visual", *columns, *names)
+
+
 def slice_stores(fact: DataFrame, stores: DataFrame, names: Sequence[str]) -> DataFrame:
     """Keep the fact rows of the stores picked by name in the dimension."""
     picked = stores.where(F.col("name").isin(*names)).select("store_id")

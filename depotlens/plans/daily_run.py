@@ -12,7 +12,7 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.config import EngineConfig
@@ -73,12 +73,14 @@ class DailyRun:
         if checked.errors:
             return transactions, ValidationReport(transactions.count(), 0, checked.errors)
         marked = checked.marked.withColumn("is_valid", F.size(VIOLATIONS) == 0)
-        written = self._written(marked, "validated", ("is_valid",))
-        counts = {r["is_valid"]: r["count"] for r in written.groupBy("is_valid").count().collect()}
-        broken = written.where(~F.col("is_valid")).select(F.explode(VIOLATIONS).alias("rule")).groupBy("rule").count()
-        report = ValidationReport(
-            sum(counts.values()), counts.get(True, 0), (), {r["rule"]: r["count"] for r in broken.collect()}
-        )
+        # The report is counted while the rows are written, not by reading them again.
+        seen = Observation("validation")
+        rules = [F.count_if(F.array_contains(VIOLATIONS, name)).alias(f"rule_{i}") for i, name in enumerate(checked.conditions)]
+        counted = marked.observe(seen, F.count("*").alias("total"), F.count_if("is_valid").alias("valid"), *rules)
+        written = self._written(counted, "validated", ("is_valid",))
+        found = seen.get
+        broken = {name: found[f"rule_{i}"] for i, name in enumerate(checked.conditions) if found[f"rule_{i}"]}
+        report = ValidationReport(found["total"], found["valid"], (), broken)
         return written.where("is_valid").drop("is_valid", VIOLATIONS), report
 
     def conform(self, lines: DataFrame) -> DataFrame:

@@ -260,6 +260,15 @@ _HEALTH = """round(avg_daily_demand, 6) AS avg_daily_demand, round(avg_stock_on_
 _WIDE = """SELECT store_id, stock_code, round(fixed_restock_300, 6) AS fixed_restock_300,
   round(forecast_plus_safety_buffer, 6) AS forecast_plus_safety_buffer,
   round(forecast_plus_safety_buffer - fixed_restock_300, 6) AS stock_change FROM wide"""
+_FIGURES = """sum(revenue) AS total_revenue, sum(orders_count)::BIGINT AS total_orders,
+  round(sum(revenue)::DOUBLE / sum(orders_count), 6) AS avg_order_value FROM sales WHERE {slicer}"""
+_PAGE = " UNION ALL ".join(
+    f"""SELECT '{visual}' AS visual, {", ".join(f"{c if c in by else f'NULL::{kind}'} AS {c}" for c, kind in
+        (("store_name", "VARCHAR"), ("region", "VARCHAR"), ("metric_date", "DATE")))}, {_FIGURES}{" GROUP BY " + ", ".join(by) if by else ""}"""
+    for visual, by in (
+        ("cards", ()), ("by_store", ("store_name",)), ("by_region", ("region",)), ("by_day", ("metric_date",)), ("stores", ("region", "store_name")),
+    )
+)
 _ORPHANS = "(SELECT count(*) FROM routed_items WHERE invoice_no NOT IN (SELECT invoice_no FROM headers))"
 
 ORACLES: dict[str, str] = {
@@ -309,6 +318,7 @@ QUALIFY row_number() OVER (PARTITION BY store_id ORDER BY sum(quantity) DESC, st
     ),
     "demand_panel": sql(TYPE_PANEL, "SELECT * FROM panel"),
     "inventory_snapshots": sql(TYPE_PANEL, "SELECT *, TRUE AS is_synthetic FROM snapshots"),
+    "inventory_by_stretches": sql(TYPE_PANEL, "SELECT *, TRUE AS is_synthetic FROM snapshots"),
     "inventory_analysis": sql((*PANEL, "analysis"), f"SELECT store_id, stock_code, {_HEALTH} FROM analysis"),
     "panel_overview": sql(
         PANEL,
@@ -482,6 +492,10 @@ SELECT model_id, round(mae, 6) AS mae, round(rmse, 6) AS rmse, row_number() OVER
         """SELECT store_name, sum(revenue) AS total_revenue, sum(orders_count)::BIGINT AS total_orders,
   round(sum(revenue)::DOUBLE / sum(orders_count), 6) AS avg_order_value FROM sales GROUP BY 1""",
     ),
+    "sales_page": sql((*DAILY, "stores", "sales"), _PAGE.format(slicer="TRUE")),
+    "sliced_sales_page": sql(
+        (*DAILY, "stores", "sales"), _PAGE.format(slicer="store_name IN ('London Dark Store', 'Dublin Dark Store')")
+    ),
     "revenue_by_region": sql(
         (*DAILY, "stores", "sales"), "SELECT region, sum(revenue) AS total_revenue FROM sales GROUP BY 1"
     ),

@@ -198,6 +198,11 @@ def q_demand_panel(spark, sf):
     return panel.demand_panel(Workspace(spark, sf, "type").stored_demand, CFG)
 
 
+def q_inventory_by_stretches(spark, sf):
+    """The snapshots again, with series replayed in stretches side by side."""
+    return panel.inventory_snapshots(Workspace(spark, sf, "type").stored_demand, CFG, stretches=True)
+
+
 def q_inventory_snapshots(spark, sf):
     return Workspace(spark, sf, "type").snapshots
 
@@ -498,6 +503,21 @@ def q_inventory_measures_by_store(spark, sf):
     return rounded(found, "avg_turnover_ratio", "avg_days_of_supply")
 
 
+SALES_PAGE = {"cards": (), "by_store": ("store_name",), "by_region": ("region",), "by_day": ("metric_date",), "stores": ("region", "store_name")}
+SALES_MEASURES = ("total_revenue", "total_orders", "avg_order_value")
+
+
+def q_sales_page(spark, sf):
+    """Every visual of the sales pages from one aggregate."""
+    return rounded(reporting.page(Workspace(spark, sf).sales, SALES_PAGE, SALES_MEASURES), "avg_order_value")
+
+
+def q_sliced_sales_page(spark, sf):
+    """The same under a store slicer."""
+    picked = F.col("store_name").isin("London Dark Store", "Dublin Dark Store")
+    return rounded(reporting.page(Workspace(spark, sf).sales, SALES_PAGE, SALES_MEASURES, picked), "avg_order_value")
+
+
 def q_profit_measures_by_store(spark, sf):
     found = reporting.measures(Workspace(spark, sf).performance, ["total_profit", "avg_roi_pct"], ["store_name"])
     return rounded(found, "avg_roi_pct")
@@ -675,6 +695,7 @@ QUERIES: dict[str, Query] = {
     "top_products_per_store": q_top_products_per_store,
     "demand_panel": q_demand_panel,
     "inventory_snapshots": q_inventory_snapshots,
+    "inventory_by_stretches": q_inventory_by_stretches,
     "inventory_analysis": q_inventory_analysis,
     "panel_overview": q_panel_overview,
     "store_daily_metrics": q_store_daily_metrics,
@@ -710,6 +731,8 @@ QUERIES: dict[str, Query] = {
     "store_performance": q_store_performance,
     "headline_figures": q_headline_figures,
     "sales_measures_by_store": q_sales_measures_by_store,
+    "sales_page": q_sales_page,
+    "sliced_sales_page": q_sliced_sales_page,
     "revenue_by_region": q_revenue_by_region,
     "revenue_by_day": q_revenue_by_day,
     "inventory_measures_by_store": q_inventory_measures_by_store,

@@ -75,3 +75,14 @@ def test_too_many_invalid_rows_stop_the_run(spark, tmp_path):
     with pytest.raises(ValueError, match="validation failed"):
         run_pipeline(spark, sales_log(spark, "/root/testdata/sf0.001"), str(tmp_path), replace(SMALL, max_invalid_ratio=0.001), RUN_TS)
     assert not (tmp_path / "orders").exists()
+
+
+def test_the_report_is_counted_while_the_rows_are_written(spark, tmp_path):
+    rows = [line("1", "A", line_no=1), line("2", "B", price="0.0001", line_no=2), line("3", quantity=200_000, price="0.0001", line_no=3)]
+    run = DailyRun(spark, str(tmp_path), SMALL, RUN_TS)
+    lines, report = run.validate(transactions(spark, *rows))
+    assert (report.total_rows, report.valid_rows) == (3, 1)
+    assert report.rule_counts == {"unit_price_in_range": 2, "quantity_in_range": 1}
+    assert lines.count() == 1
+    empty, none = run.validate(transactions(spark, *rows).limit(0))
+    assert (none.total_rows, none.valid_rows, dict(none.rule_counts)) == (0, 0, {}) and empty.isEmpty()

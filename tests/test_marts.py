@@ -97,3 +97,23 @@ def test_store_count_ignores_the_pick(spark):
     rows = daily(spark, ("LON", MONDAY, 5), ("MAN", MONDAY, 7))
     got = reporting.dashboard_totals(rows, stores_table(spark, CFG), ["London Dark Store"]).first()
     assert (got["total_revenue"], got["total_orders"], got["stores"]) == (Decimal("5.00"), 1, 6)
+
+
+def test_a_page_is_one_pass(spark):
+    from depotlens.operators import reporting
+
+    sales = spark.createDataFrame([("L", "N", 10, 2), ("L", "N", 5, 1), ("M", "N", 1, 0), (None, "S", 4, 4)], "store_name string, region string, revenue int, orders_count int")
+    visuals = {"card": (), "by_store": ("store_name",), "again": ("store_name",), "by_region": ("region",), "both": ("region", "store_name")}
+    names = ("total_revenue", "avg_order_value")
+    found = reporting.page(sales, visuals, names)
+    got = {(r["visual"], r["store_name"], r["region"]): (r["total_revenue"], r["avg_order_value"]) for r in found.collect()}
+    want = {}
+    for visual, by in visuals.items():
+        for r in reporting.measures(sales, names, by).collect():
+            key = (visual, r["store_name"] if "store_name" in by else None, r["region"] if "region" in by else None)
+            want[key] = (r["total_revenue"], r["avg_order_value"])
+    assert got == want and len(got) == 1 + 3 + 3 + 2 + 3
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan ExistingRDD") == 1 and "Expand" in plan
+    cards = reporting.page(sales, {"card": ()}, names, sales["revenue"] > 4).collect()
+    assert [(r["visual"], r["total_revenue"]) for r in cards] == [("card", 15)]
