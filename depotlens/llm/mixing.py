@@ -25,6 +25,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from depotlens.llm.literals import WORD, literal_table, word_count
+from depotlens.llm.names import keeps_columns
 from depotlens.session import materialize
 
 
@@ -122,8 +123,17 @@ def mix(
     sources: Column | None = None,
 ) -> tuple[DataFrame, MixPlan]:
     """The documents with ``size`` and ``taken`` words, and the plan. ``sources`` is an array; default: the source."""
-    docs = docs.drop("size", "taken", "_pattern", "_key", "_bucket")
     member = F.array(F.col("source").cast("string")) if sources is None else sources
+    mixed, plan = _mix(docs.withColumn(MEMBER, member), list(weights), factor, repeats, seed)
+    return mixed.drop(MEMBER), plan
+
+
+MEMBER = "_member_of"
+
+
+@keeps_columns(("doc_id", "text", MEMBER), ("size", "taken"))
+def _mix(docs: DataFrame, weights: list[float], factor: float, repeats: int, seed: int) -> tuple[DataFrame, MixPlan]:
+    member = F.col(MEMBER)
     pattern = F.to_json(F.sort_array(F.array_distinct(member)), {"ignoreNullFields": "false"})
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)))
@@ -132,7 +142,7 @@ def mix(
     # Buckets of the random order, of some thousand documents each: their sums give every bucket's place on
     # the line, and a document's place is found within its bucket.
     places = materialize(sized.select("_pattern", "_key", "size"), "mix-sizes")
-    plan = plan_mix(places, list(weights), factor, repeats)
+    plan = plan_mix(places, weights, factor, repeats)
     bits = min(28, max(0, math.ceil(math.log2(max(1, places.count()) / 4096))))
     number = F.conv(F.substring("_key", 1, 7), 16, 10).cast("long")
     bucket = F.shiftright(number, 28 - bits).cast("int")
@@ -154,8 +164,13 @@ def mix(
 
 def repeat_taken(mixed: DataFrame) -> DataFrame:
     """One row per taken copy; the copy of which only the first words are taken has those, joined by one space."""
+    return _copies(mixed).drop("size", "taken")
+
+
+@keeps_columns(("text", "size", "taken"), ())
+def _copies(mixed: DataFrame) -> DataFrame:
     copies = F.expr("explode(sequence(1L, (taken + size - 1) div size))")
     rows = mixed.where("taken > 0").withColumn("_copy", copies)
     words = F.least("size", F.col("taken") - (F.col("_copy") - 1) * F.col("size"))
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), words.cast("int")), " ")
-    return rows.withColumn("text", F.when(words < F.col("size"), first).otherwise(F.col("text"))).drop("size", "taken", "_copy")
+    return rows.withColumn("text", F.when(words < F.col("size"), first).otherwise(F.col("text")))

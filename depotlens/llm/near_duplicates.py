@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from depotlens.llm.components import connected_components
 from depotlens.llm.kernels import Words, mix, seeds, split_words, text_chunks
+from depotlens.llm.names import keeps_columns
 from depotlens.session import materialize
 
 RESULTS = ("n_shingles", "component_id", "kept")
@@ -132,9 +133,10 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
 
 
+@keeps_columns(("doc_id", "text"), RESULTS)
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = 3, bands: int = 12) -> DataFrame:
     """The documents with ``n_shingles``, ``component_id`` and ``kept``."""
-    docs = docs.drop(*RESULTS, "_text").withColumn("text", F.col("text").cast("string"))
+    docs = docs.withColumn("text", F.col("text").cast("string"))
     signed = materialize(sign(docs, shingle, rows, bands), "signed")
     # Equal sets are one class: a node of the graph. One of its texts and its smallest doc_id stand for it.
     sets = signed.where("n_shingles > 0").groupBy("_print", F.col("n_shingles").alias("size"))

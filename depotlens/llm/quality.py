@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.llm.literals import GAP, words_of
+from depotlens.llm.names import keeps_columns
 from depotlens.session import materialize
 
 #: Sixteen of the commonest words of each language.
@@ -174,9 +175,9 @@ def references(typical: DataFrame) -> DataFrame:
     return groups.select("_group", chars.alias("ref_chars"), part("common").alias("ref_common"))
 
 
+@keeps_columns(("text", "lang"), RESULTS)
 def judge(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """The documents with the base figures, ``base_failed``, both distances and the verdict ``kept``."""
-    docs = docs.drop(*RESULTS, "_text", "_words", "_group", "_lengths", "_hits", "_found", "_chars", "_common")
     repeated = 100 * F.col("n_repeat_words") > rules.most_repeated_percent * F.col("n_words")
     measured = measure(docs).withColumn("base_failed", (F.col("n_words") < rules.min_words) | repeated)
     measured = materialize(measured, "quality")

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from depotlens.llm.kernels import Words, mix, ranges, split_words, text_chunks
+from depotlens.llm.names import keeps_columns
 from depotlens.session import materialize
 
 SLICE = 1 << 20
@@ -198,9 +199,9 @@ def repeated_spans(table: DataFrame) -> DataFrame:
     return whole.unionByName(single)
 
 
+@keeps_columns(("text",), ("n_words", "n_removed"))
 def remove_repeats(docs: DataFrame, size: int = 35, gram: int = 8, cells: int = 1 << 26) -> DataFrame:
     """The documents without their repeated passages, with ``n_words`` before and ``n_removed``."""
-    docs = docs.drop("n_words", "n_removed", "_uid", "_anchor", "_block", "_first", "_keys")
     docs = docs.withColumn("text", F.col("text").cast("string"))
     names = docs.columns
     context = docs.sparkSession.sparkContext

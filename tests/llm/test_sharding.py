@@ -1,5 +1,11 @@
+import bisect
+import hashlib
+import struct
 import zlib
 
+import pytest
+import xxhash
+
 from depotlens.llm import queries
 from depotlens.llm.sharding import assign_shards, ring, settle, shares
 
@@ -59,3 +65,47 @@ def test_awkward_and_empty_tables(awkward, nothing):
     assert assign_shards(nothing).count() == 0
     one = assign_shards(awkward.limit(1), 8).collect()
     assert [r["slot"] for r in one] == [0]
+
+
+def walk(docs, shards, vnodes=128, slack=0.0):
+    """{doc_id: shard} by a walk round the ring in plain Python: own hashes, own limits, one row at a time."""
+    number = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+    points = sorted((number(f"shard {s} point {v}"), s) for s in range(shards) for v in range(vnodes))
+    places = [p for p, _ in points]
+    waiting = {}
+    for doc_id, text in docs:
+        size, crc, part = len(text.encode()) + 1, zlib.crc32(text.encode()), 42
+        for value in (doc_id, size, crc):
+            part = xxhash.xxh64(struct.pack("<q", value), seed=part).intdigest()
+        part = part - (1 << 64) if part >> 63 else part
+        arc = bisect.bisect_left(places, number(str(doc_id))) % len(points)
+        waiting.setdefault(arc, []).append((part % 16, doc_id, crc, size))
+    n = len(docs)
+    room = [n // shards + (s < n % shards) for s in range(shards)]
+    if slack:
+        room = [max(-(-n // shards), int((1 + slack) * n / shards))] * shards
+    found = {}
+    for step in range(len(points)):
+        for arc in sorted(waiting):
+            shard = points[(arc + step) % len(points)][1]
+            rows = sorted(waiting[arc])
+            taken = rows[: room[shard]]
+            room[shard] -= len(taken)
+            found |= {doc_id: shard for _, doc_id, _, _ in taken}
+            waiting[arc] = rows[len(taken) :]
+    return found
+
+
+@pytest.mark.parametrize("shards,slack", [(8, 0.0), (9, 0.0), (5, 0.25)])
+def test_every_document_is_where_a_plain_walk_puts_it(spark, sf_dir, shards, slack):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    given = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    assert checked(assign_shards(docs, shards, slack=slack).collect(), shards, slack) == walk(given, shards, slack=slack)
+
+
+def test_a_new_shard_moves_little_without_slack_too():
+    docs = [(i, "t") for i in range(20_000)]
+    before, after = walk(docs, 8), walk(docs, 9)
+    moved = sum(before[i] != after[i] for i in before) / len(docs)
+    new = sum(shard == 8 for shard in after.values()) / len(docs)
+    assert new == pytest.approx(1 / 9, abs=1e-3) and moved < 1.6 / 9
