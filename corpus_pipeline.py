@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.llm import mixing, near_duplicates, packing, quality, substrings
+from depotlens.llm.names import keeps_columns
 from depotlens.llm.queries import documents, tokenizer_path
 from depotlens.llm.storage import drop_written, release_shuffles
 from depotlens.session import drop_paths, materialize, recorded_scratch
@@ -49,13 +50,13 @@ def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
     """The columns of documents, with ``n_chars`` of the text as it is now."""
     if "n_chars" in columns:
         docs = docs.withColumn("n_chars", F.char_length("text").cast("long"))
-    return docs.select(*columns)
+    return docs.select(*(F.col(f"`{c}`") for c in columns))
 
 
 @stage(first=True)
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    return quality.judge(docs).where("kept").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 @stage()
@@ -65,10 +66,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Groups are found over row numbers, so repeated, shared and missing ids are no obstacle. The row with the
     smallest doc_id stays, the first of them if several have it; a null comes last.
     """
+    return _one_of_each(docs)
+
+
+@keeps_columns(("doc_id", "text"), ())
+def _one_of_each(docs: DataFrame) -> DataFrame:
     rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    numbered = rows.select(F.col("_row").alias("doc_id"), "text", F.col("doc_id").alias("_given"))
+    numbered = rows.select(F.col("_row").alias("doc_id"), "text", F.col("doc_id").alias("_named"))
     found = near_duplicates.near_duplicates(numbered)
-    first = F.min(F.struct(F.isnull("_given"), "_given", F.col("doc_id").alias("_row"))).alias("first")
+    first = F.min(F.struct(F.isnull("_named"), "_named", F.col("doc_id").alias("_row"))).alias("first")
     first = found.groupBy("component_id").agg(first).select("first._row")
     return rows.join(first, "_row", "left_semi").select(*docs.columns)
 
