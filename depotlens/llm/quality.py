@@ -37,8 +37,6 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par"],
 }
 OTHER = "other"
-# The SQL counterpart has this pooled list for documents without a listed language; the operator does not use it.
-WORD_LISTS = COMMON_WORDS | {OTHER: [w for words in COMMON_WORDS.values() for w in words[:4]]}
 #: What is left of a text after taking out a class, from the most common class on; the rest is the last class.
 CLASSES = {"lower": "[a-z]+", "space": GAP, "upper": "[A-Z]+", "digit": "[0-9]+", "beyond": r"[^\x00-\x7F]+"}
 RESULTS = (

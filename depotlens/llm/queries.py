@@ -275,7 +275,7 @@ LEFT JOIN nodes p ON p.d = c.d - 1 AND p.path = c.path[1:c.d - 1]
 
 
 def _op4_sql() -> str:
-    listed = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in quality.WORD_LISTS.items())
+    lists = ", ".join(f"('{name}', {i}, {words!r})" for i, (name, words) in enumerate(quality.COMMON_WORDS.items()))
     known = ", ".join(f"'{k}'" for k in quality.COMMON_WORDS)
     left, lengths = "text", ["len(text)"]
     for pattern in quality.CLASSES.values():
@@ -284,14 +284,13 @@ def _op4_sql() -> str:
     chars = ", ".join([f"{a} - {b}" for a, b in zip(lengths, lengths[1:])] + [lengths[-1]])
     rules = quality.QualityRules()
     return f"""
-WITH docs AS (
+WITH lists(name, ord, listed) AS (VALUES {lists}), docs AS (
   SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS text,
-         CASE WHEN lang IN ({known}) THEN lang ELSE 'other' END AS grp
+         CASE WHEN lang IN ({known}) THEN lang ELSE 'other' END AS grp, trim(coalesce(lang, '')) = '' AS blank
   FROM documents
 ), split AS (
   SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words,
-         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines,
-         CASE grp {listed} END AS listed
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM docs
 ), windows AS (
   SELECT uid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
@@ -301,38 +300,51 @@ WITH docs AS (
 ), covered AS (
   SELECT uid, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY uid
 ), figures AS (
-  SELECT s.uid, doc_id, grp, len(words)::BIGINT AS n_words,
+  SELECT s.uid, doc_id, grp, blank, words, len(words)::BIGINT AS n_words,
          len(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
          len(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-         coalesce(c.n, 0)::BIGINT AS n_repeat_words, [{chars}] AS chars,
-         list_append(list_transform(listed, lambda x: len(list_filter(words, lambda w: w = x))),
-                     len(list_filter(words, lambda w: NOT list_contains(listed, w)))) AS common
+         coalesce(c.n, 0)::BIGINT AS n_repeat_words, [{chars}] AS chars
   FROM split s LEFT JOIN covered c USING (uid)
 ), based AS (
   SELECT *, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.most_repeated_percent} * n_words AS base_failed,
          list_sum(chars) >= {rules.char_guard} AS char_speaks, n_words >= {rules.word_guard} AS word_speaks
   FROM figures
+), histograms AS (
+  SELECT uid, grp, blank, name, ord, NOT base_failed AND char_speaks AND word_speaks AS typical, 1 AS kind,
+         list_append(list_transform(listed, lambda x: len(list_filter(words, lambda w: w = x))),
+                     len(list_filter(words, lambda w: NOT list_contains(listed, w)))) AS h
+  FROM based JOIN lists ON grp = name OR grp = 'other'
+  UNION ALL
+  SELECT uid, grp, blank, name, ord, NOT base_failed AND char_speaks AND word_speaks, 0, chars
+  FROM based JOIN (SELECT name, ord FROM lists UNION ALL SELECT 'pool', 99) ON grp = name OR grp = 'other'
+), guesses AS (
+  SELECT uid, name FROM histograms WHERE typical AND grp = 'other' AND blank AND kind = 1 AND list_sum(h) > h[len(h)]
+  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY list_sum(h) - h[len(h)] DESC, ord) = 1
 ), bins AS (
-  SELECT uid, grp, base_failed, char_speaks, word_speaks, kind, i, (CASE kind WHEN 0 THEN chars ELSE common END)[i] AS v
-  FROM (SELECT *, unnest(range(1, 1 + CASE kind WHEN 0 THEN len(chars) ELSE len(common) END)) AS i
-        FROM based, (SELECT unnest([0, 1]) AS kind))
+  SELECT uid, grp, name, kind, typical, i, h[i] AS v FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM histograms)
+), named AS (
+  SELECT name, kind, i, sum(v) AS v FROM bins WHERE typical AND grp = name GROUP BY ALL
 ), reference AS (
-  SELECT grp, kind, i, sum(v) AS v FROM bins WHERE NOT base_failed AND char_speaks AND word_speaks GROUP BY ALL
+  SELECT *, TRUE AS for_all FROM named
+  UNION ALL SELECT name, kind, i, sum(v), FALSE FROM bins JOIN guesses USING (uid, name)
+  WHERE name NOT IN (SELECT name FROM named) GROUP BY ALL
+  UNION ALL SELECT name, kind, i, sum(v), FALSE FROM bins WHERE typical AND name = 'pool' GROUP BY ALL
 ), shares AS (
-  SELECT b.uid, b.kind, b.v / nullif(sum(b.v) OVER own, 0)::DOUBLE AS p, r.v / nullif(sum(r.v) OVER own, 0)::DOUBLE AS q
-  FROM bins b JOIN reference r USING (grp, kind, i)
-  WINDOW own AS (PARTITION BY b.uid, b.kind)
+  SELECT b.uid, b.name, b.kind, b.v / nullif(sum(b.v) OVER own, 0)::DOUBLE AS p, r.v / nullif(sum(r.v) OVER own, 0)::DOUBLE AS q
+  FROM bins b JOIN reference r ON r.name = b.name AND r.kind = b.kind AND r.i = b.i AND (for_all OR grp = 'other')
+  WINDOW own AS (PARTITION BY b.uid, b.name, b.kind)
 ), distances AS (
-  SELECT uid, kind, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p * 2 / (p + q)) / 2 ELSE 0 END
-                                       + CASE WHEN q > 0 THEN q * log2(q * 2 / (p + q)) / 2 ELSE 0 END))) AS d
-  FROM shares GROUP BY uid, kind
+  SELECT uid, kind, name, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p * 2 / (p + q)) / 2 ELSE 0 END
+                                             + CASE WHEN q > 0 THEN q * log2(q * 2 / (p + q)) / 2 ELSE 0 END))) AS d
+  FROM shares GROUP BY uid, kind, name
+), nearest AS (
+  SELECT uid, min(d) FILTER (kind = 0) AS c, min(d) FILTER (kind = 1) AS w FROM distances GROUP BY uid
 ), judged AS (
-  SELECT b.*, CASE WHEN char_speaks THEN round(c.d, 6) END AS char_distance,
-         CASE WHEN word_speaks THEN round(w.d, 6) END AS word_distance
-  FROM based b
-  LEFT JOIN distances c ON c.uid = b.uid AND c.kind = 0
-  LEFT JOIN distances w ON w.uid = b.uid AND w.kind = 1
+  SELECT b.*, CASE WHEN char_speaks THEN round(c, 6) END AS char_distance,
+         CASE WHEN word_speaks AND NOT coalesce(grp = 'other' AND NOT blank AND round(w, 6) > {rules.word_distance}, FALSE)
+              THEN round(w, 6) END AS word_distance
+  FROM based b LEFT JOIN nearest USING (uid)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance, word_distance,
        NOT base_failed AND coalesce(char_distance, 0) <= {rules.char_distance}

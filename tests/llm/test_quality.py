@@ -1,6 +1,7 @@
 import math
 import random
 
+import duckdb
 import pytest
 from conftest_llm import words
 from oracle import connect, difference
@@ -102,3 +103,19 @@ def test_no_reference_gives_no_distance(spark):
     rows = [(i, f"{'qx ' * 60}{' '.join(f'z{k}' for k in range(90))}", None) for i in range(3)]
     found = judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     assert [(r["base_failed"], r["word_distance"], r["kept"]) for r in found] == [(False, None, True)] * 3
+
+
+@pytest.mark.parametrize("unlisted", [("null", "fr"), ("blank", "en"), ("named", "de"), ("all", None)])
+def test_documents_without_a_listed_language_equal_their_sql(spark, tmp_path, unlisted):
+    """Languages blanked for some documents, named but not listed, or not known for any document of a language."""
+    kind, whole = unlisted
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id % 3 = 0")
+    some = (F.col("doc_id") % 2 == 0) | F.lit(kind == "all") | (F.col("lang") == F.lit(whole))
+    other = {"null": F.lit(None).cast("string"), "blank": F.lit("  "), "named": F.lit("xx"), "all": F.lit(None).cast("string")}[kind]
+    docs = docs.withColumn("lang", F.when(some, other).otherwise(F.col("lang")))
+    docs.coalesce(1).write.parquet(str(tmp_path / "folder"))
+    (file,) = (tmp_path / "folder").glob("*.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{file}'")
+    got = judge(spark.read.parquet(str(tmp_path / "folder"))).select("doc_id", *RESULTS)
+    assert difference(got, con, queries.ORACLES["op4_quality_rules"]) is None
