@@ -99,6 +99,9 @@ class EngineConfig:
     tree_depth: int = 5
     learning_rate: float = 0.1
     seed: int = 7
+    # Rolling origins of the model search: folds before the test window, and their length.
+    search_folds: int = 3
+    search_fold_days: int = 28
     model_name: str = "boosted_trees_demand_model"
     baseline_name: str = "seasonal_naive_dow"
 

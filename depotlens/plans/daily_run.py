@@ -134,7 +134,8 @@ class DailyRun:
         """Search by rolling origins over the features of this run: leaderboard, saved models, the leader's summary."""
         featured = self.spark.read.parquet(f"{self.work}/demand_features")
         train, test = features.train_rows(featured, self.cfg), features.test_rows(featured, self.cfg)
-        result = stacking.rolling_search(train, self.cfg, self.run_ts)
+        cfg = self.cfg
+        result = stacking.rolling_search(train, cfg, self.run_ts, folds=cfg.search_folds, fold_days=cfg.search_fold_days)
         self._load("automl_leaderboard", result.leaderboard)
         result.save(f"{self.work}/models")
         export_csv(test, f"{self.work}/test_frame")

@@ -11,7 +11,7 @@ from depotlens.schemas import TABLES
 from depotlens.sources.sales_log import sales_log
 from depotlens.sources.upsert import TableStore
 
-SMALL = replace(CFG, trees=2, min_density=0.02, max_invalid_ratio=0.1)
+SMALL = replace(CFG, trees=2, min_density=0.02, max_invalid_ratio=0.1, search_folds=1)
 
 
 @pytest.fixture(scope="module")
