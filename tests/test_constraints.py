@@ -1,7 +1,11 @@
+from datetime import date
+
 import pytest
 
 from depotlens.config import EngineConfig
 from depotlens.operators.constraints import quality_report, require_rows
+from depotlens.plans import queries
+from depotlens.plans.oracles import ORACLES
 from depotlens.plans.queries import QUERIES
 
 CFG = EngineConfig()
@@ -45,3 +49,13 @@ def test_store_measures_do_not_compute_prices(spark, sf_dir):
 def test_no_forced_broadcasts(spark, sf_dir):
     for name in ("training_frame", "policy_comparison", "top_products"):
         assert "strategy=broadcast" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().analyzed().toString()
+
+
+def test_the_report_names_the_outcome_of_the_models(spark, sf_dir, monkeypatch):
+    columns = "store_id string, stock_code string, snapshot_date date, units_demanded long, predicted_demand double, seasonal_naive_pred double"
+    for model, baseline, outcome in ((4.0, 9.0, "model_beats_baseline"), (9.0, 4.0, "baseline_not_beaten")):
+        scored = spark.createDataFrame([("LON", "A", date(2001, 6, 7), 5, model, baseline)], columns)
+        monkeypatch.setattr(queries, "_scored", lambda *_, scored=scored: scored)
+        found = {r["check_name"]: r["status"] for r in QUERIES["quality_report"](spark, sf_dir).collect()}
+        assert found["model_versus_baseline"] == outcome
+    assert "'model_beats_baseline'" in ORACLES["quality_report"]
