@@ -149,3 +149,58 @@ def test_daily_run_takes_the_format():
     from depotlens.sources.transactions import DECLARED
 
     assert "workbook" in DECLARED
+
+
+def test_plain_rows_are_read_and_written_by_column(spark, tmp_path, monkeypatch):
+    from datetime import timedelta
+
+    columns = "s string, n int, big long, p decimal(18,4), f double, b boolean, d date, t timestamp_ntz, u timestamp, e string"
+    rows = [
+        (["a", "&<>]]>", "_x0041_\x01\r\n ", "", None, "x:row><row/>"][i % 6], None if i % 5 == 0 else i - 50, 10**17 + i, Decimal(i) / 8,
+         i / 3, i % 2 == 0, date(1999, 12, 31) + timedelta(i), datetime(2001, 1, 1) + timedelta(hours=i, microseconds=i % 97 == 96),
+         datetime(2001, 1, 1), None)
+        for i in range(20000)
+    ]
+    given = spark.createDataFrame(rows, columns).coalesce(1)
+    folder = str(tmp_path / "p")
+    given.write.format("workbook").mode("overwrite").save(folder)
+    want = sorted(map(repr, given.collect()))
+    for step in ("6000", "30000"):
+        back = read(spark, folder, columns, rows_per_partition=step)
+        assert sorted(map(repr, back.collect())) == want
+
+    # Most rows do not go through the parser of single cells.
+    plain = [(str(i), i, 10**17 + i, Decimal(i) / 8, i / 4, date(2001, 1, 1), datetime(2001, 1, 1, 5)) for i in range(5000)]
+    names = "s string, n int, big long, p decimal(18,4), f double, d date, t timestamp_ntz"
+    spark.createDataFrame(plain, names).coalesce(1).write.format("workbook").mode("overwrite").save(str(tmp_path / "q"))
+
+    def never(*_):
+        raise AssertionError("a plain cell was read by itself")
+
+    source = workbook.WorkbookReader({"path": str(tmp_path / "q"), "rows_per_partition": "2000"}, spark.createDataFrame([], names).schema)
+    parts = source.partitions()
+    monkeypatch.setattr(workbook, "convert", never)
+    monkeypatch.setattr(workbook.WorkbookReader, "_rows", never)
+    assert [tuple(r.values()) for part in parts for batch in source.read(part) for r in batch.to_pylist()] == plain
+
+
+def test_rows_by_column_agree_with_rows_by_cell(tmp_path):
+    cells = [
+        "<c/>", "<c><v>007</v></c>", "<c><v>12</v></c>", "<c><v>-0</v></c>", "<c><v>1e3</v></c>", "<c><v>1e30</v></c>", "<c><v>12345678901234</v></c>",
+        "<c><v>2.5</v></c>", "<c><v>0.30000000000000004</v></c>", "<c><v>36892.25</v></c>", '<c t="b"><v>1</v></c>', '<c t="d"><v>2001-02-03T04:05:06</v></c>',
+        '<c t="d"><v>2001-02-03</v></c>', '<c t="d"><v>0999-02-03T04:05:06.5</v></c>', '<c t="inlineStr"><is><t>a &amp;lt; _x0041_&gt;</t></is></c>',
+        '<c t="inlineStr"><is><t> 17 </t></is></c>', '<c t="inlineStr"><is><t></t></is></c>', '<c t="inlineStr"><is><t>&#65;</t></is></c>', '<c t="str"><v>z</v></c>',
+    ]
+    kinds = "string", "int", "long", "double", "decimal(18,4)", "decimal(18,0)", "boolean", "date", "timestamp_ntz", "timestamp"
+    schema = T.StructType([T.StructField(f"c{i}", T._parse_datatype_string(k)) for i, k in enumerate(kinds)] + [T.StructField(workbook.CORRUPT, T.StringType())])
+    head = "<row>" + "".join(f'<c t="inlineStr"><is><t>c{i}</t></is></c>' for i in range(len(kinds))) + "</row>"
+    for i, cell in enumerate(cells):
+        rows = "".join("<row>" + c * len(kinds) + "</row>" for c in (cell, cell, "<c/>"))
+        # Attributes of the rows send them the other way.
+        slow = rows.replace("<row>", "<row ht='1'>")
+        got = []
+        for name, xml in (("a", head + rows), ("b", head.replace("<row>", "<row ht='1'>") + slow)):
+            path = book(tmp_path / f"{name}{i}.xlsx", {"s": sheet(xml)})
+            reader = workbook.WorkbookReader({"path": path}, schema)
+            got.append([r for part in reader.partitions() for batch in reader.read(part) for r in batch.to_pylist()])
+        assert got[0] == got[1] and len(got[0]) == 3, cell
