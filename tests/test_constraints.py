@@ -1,12 +1,14 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from depotlens.config import EngineConfig
 from depotlens.operators.constraints import quality_report, require_rows
 from depotlens.plans import queries
 from depotlens.plans.oracles import ORACLES
 from depotlens.plans.queries import QUERIES
+from depotlens.session import materialize
 
 CFG = EngineConfig()
 
@@ -59,3 +61,17 @@ def test_the_report_names_the_outcome_of_the_models(spark, sf_dir, monkeypatch):
         found = {r["check_name"]: r["status"] for r in QUERIES["quality_report"](spark, sf_dir).collect()}
         assert found["model_versus_baseline"] == outcome
     assert "'model_beats_baseline'" in ORACLES["quality_report"]
+
+
+def test_the_report_writes_log_and_items_once(spark, sf_dir, monkeypatch):
+    written = []
+
+    def noted(df, name):
+        written.append(name)
+        return materialize(df, name)
+
+    monkeypatch.setattr(queries, "materialize", noted)
+    monkeypatch.setattr(queries.forecast, "train_forecast", lambda *_: None)
+    monkeypatch.setattr(queries.forecast, "predict", lambda _, rows: rows.withColumn("predicted_demand", F.lit(0.0)))
+    assert QUERIES["quality_report"](spark, sf_dir).count() == 5
+    assert written.count("lines") == 1 and written.count("order_items") == 1
