@@ -1,5 +1,6 @@
 import random
-from datetime import datetime, timezone
+import threading
+from datetime import date, datetime, timezone
 
 import pytest
 from frames import day, panel
@@ -132,3 +133,18 @@ def test_key_checks(spark):
     assert constraints.check_not_null(df, ["k", "p"]).first().asDict() == {"k": 0, "p": 1}
     required = spark.createDataFrame([("a",), ("b",)], "p string")
     assert [r[0] for r in constraints.missing_names(required, parent, "p").collect()] == ["a"]
+
+
+def test_candidates_of_the_search_are_fitted_side_by_side(spark, monkeypatch):
+    both = threading.Barrier(2, timeout=60)  # breaks if one fit waits for the other's end
+
+    def fitted(rows, cfg, regressor):
+        both.wait()
+        return regressor
+
+    monkeypatch.setattr(forecast, "train_forecast", fitted)
+    monkeypatch.setattr(forecast, "predict", lambda model, rows: rows.withColumn(forecast.PREDICTION, F.lit(float(model))))
+    train = spark.createDataFrame([(date(2001, 6, 1), 4), (date(2001, 1, 1), 9)], "snapshot_date date, units_demanded long")
+    candidates = [forecast.Candidate(f"m{i}", "x", i) for i in (1, 3)]
+    result = forecast.model_search(train, EngineConfig(test_start=date(2001, 6, 7)), datetime(2001, 8, 2), candidates)
+    assert result.leader_id == "m3" and result.models == {"m1": 1, "m3": 3}
