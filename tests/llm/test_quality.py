@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import duckdb
 import pytest
@@ -7,7 +8,7 @@ from conftest_llm import words
 from oracle import connect, difference
 from pyspark.sql import functions as F
 
-from depotlens.llm import queries
+from depotlens.llm import quality, queries
 from depotlens.llm.quality import COMMON_WORDS, RESULTS, judge
 
 
@@ -119,3 +120,18 @@ def test_documents_without_a_listed_language_equal_their_sql(spark, tmp_path, un
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{file}'")
     got = judge(spark.read.parquet(str(tmp_path / "folder"))).select("doc_id", *RESULTS)
     assert difference(got, con, queries.ORACLES["op4_quality_rules"]) is None
+
+
+def test_listed_words_and_word_characters_are_counted_without_a_pass_for_each(spark):
+    rows = [(1, "de  la\tde xé 9 THE the\n\x0b\U0001f600 de", None), (2, "", "fr"), (3, None, "xx"), (4, "the of the The", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    measured = quality.measure(docs)
+    found = {r["doc_id"]: r for r in measured.collect()}
+    for doc_id, text, lang in rows:
+        words = [w for w in re.split(r"[\x20\x09-\x0d]+", text or "") if w]
+        assert found[doc_id]["word_chars"] == sum(map(len, words))
+        lists = [quality.COMMON_WORDS[lang]] if lang in quality.COMMON_WORDS else list(quality.COMMON_WORDS.values())
+        counts = [[words.count(c) for c in listed] for listed in lists]
+        assert found[doc_id]["_common"] == [[*n, len(words) - sum(n)] for n in counts]
+    plan = measured._jdf.queryExecution().analyzed().toString()
+    assert "array_remove" in plan and r"regexp_replace(_text#, [\x20\x09-\x0D]+" not in re.sub(r"#\d+", "#", plan)
