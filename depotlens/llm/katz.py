@@ -31,11 +31,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.llm.kernels import Words, split_words, text_chunks
@@ -45,6 +46,8 @@ from depotlens.session import materialize
 END, START = np.uint64(0x27220A95FE1D83D1), np.uint64(0x9FB21C651E98DF25)
 SHORT = np.uint64((1 << 48) - 1)
 LARGEST = 5
+#: Buckets in a row group of the stored table, and in a batch that a task gets of it.
+GROUP_ROWS = 1
 
 
 # -- blocks of documents --------------------------------------------------------------------------
@@ -173,6 +176,8 @@ def exchange_blocks(docs: DataFrame, buckets: int, tokens: int = 3 << 19, most_d
                     count += len(w)
         if parts:
             yield from flush()
+        # The worker serves other tasks after this one.
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 
@@ -200,12 +205,14 @@ def merge(rows: list[dict]) -> Bucket:
     docs, times, hists = read("docs", "<u2"), read("times", "<u4"), [_from_six(r["hists"]) for r in rows]
     w = np.concatenate([np.repeat(a, n) for a, n in zip(words, spread)])
     h = np.concatenate(hists)
+    del words, spread, hists
     order = np.lexsort((h, w))
     fresh = _runs(w[order], h[order])
     number = np.empty(len(w), dtype=np.int64)
     number[order] = np.repeat(np.arange(len(fresh)), np.diff(np.append(fresh, len(w))))
     w, h = w[order][fresh], h[order][fresh]
     place = np.repeat(number, np.concatenate(shared))
+    del order, number, shared
     doc, count = np.concatenate(docs), np.concatenate(times).astype(np.int64)
     block = np.repeat(np.array([r["block"] for r in rows]), [len(d) for d in docs])
     held = (doc & 1).astype(bool)
@@ -213,7 +220,7 @@ def merge(rows: list[dict]) -> Bucket:
     start = _runs(w)
     word = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(w))))
     total = np.bincount(word, weights=seen, minlength=len(start)).astype(np.int64)
-    return Bucket(word, h, seen, total, w[start] == END, place, block, (doc >> 1).astype(np.int64), held, count)
+    return Bucket(word, h, seen, total, w[start] == END, place, block, doc >> 1, held, count)
 
 
 TABLE = "bucket long, blocks array<struct<block:long,words:binary,spread:binary,hists:binary,shared:binary,docs:binary,times:binary>>"
@@ -270,6 +277,8 @@ def fit(table: DataFrame) -> Model:
                 sums[at] += bucket.total.sum()
                 sums[at + 1] += np.count_nonzero(bucket.total)
                 sums[at + 2] += bucket.total[bucket.is_end].sum()
+                del bucket, count, large, blocks  # before the next one is read
+        pa.default_memory_pool().release_unused()
         yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.int64()))], names=["sums"])
 
     parts = table.select("blocks").mapInArrow(run, "sums array<long>")
@@ -313,13 +322,13 @@ def evaluate(table: DataFrame, model: Model, parts: int, most: int = 1 << 26) ->
         follows = np.where((bucket.total > 0) & ~bucket.is_end, log(bucket.total.astype(float)), 0.0)
         unseen = bucket.seen == 0
         word = bucket.word[bucket.place]
-        known = (bucket.total[word] > 0) * bucket.times
-        score = (direct[bucket.place] - follows[word]) * bucket.times
         order = np.lexsort((bucket.doc, bucket.block))
         block, doc = bucket.block[order], bucket.doc[order]
         first = _runs(block, doc)
-        add = lambda values: np.add.reduceat(values[order], first)
-        sums = add(known), add(base[word] * bucket.times), add(score)
+        # One array per occurrence at a time.
+        add = lambda values: np.add.reduceat((values * bucket.times)[order], first)
+        sums = add(bucket.total[word] > 0), add(base[word]), add(direct[bucket.place] - follows[word])
+        del word, order
         block, doc = block[first], doc[first]
         edge = _runs(block)
         for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(block)]):
@@ -371,9 +380,11 @@ def evaluate(table: DataFrame, model: Model, parts: int, most: int = 1 << 26) ->
                 rows = list(settle(merge(blocks.as_py()), gathered))
                 if rows:
                     yield made(rows)
+                del rows, blocks  # before the next one is read
                 if sum(v.nbytes for v in gathered.values()) > most:
                     yield from sums_so_far()
         yield from sums_so_far()
+        pa.default_memory_pool().release_unused()
 
     return table.select("blocks").mapInArrow(run, schema)
 
@@ -403,19 +414,20 @@ def back_off(sums: DataFrame) -> DataFrame:
             hist = hist[first]
             # alpha(h) * count(h): the histories' counts were taken off every token before.
             alpha = np.log10(lost) - np.log10(1 - mass)
-            for r in two:
-                want = _from_six(r["a"])
-                near = np.minimum(np.searchsorted(hist, want), len(hist) - 1)
-                value = np.where(hist[near] == want, alpha[near], 0.0) * np.frombuffer(r["d"], "<u4")
-                block, doc = np.frombuffer(r["b"], "<i8"), np.frombuffer(r["c"], "<u2")
-                order = np.lexsort((doc, block))
-                first = _runs(block[order], doc[order])
-                value, block, doc = np.add.reduceat(value[order], first), block[order][first], doc[order][first]
-                edge = _runs(block)
-                for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(block)]):
-                    out["key"].append(int(block[a]))
-                    out["a"].append(doc[a:b].tobytes())
-                    out["d"].append(value[a:b].astype("<f8").tobytes())
+            read = lambda name, kind: np.concatenate([np.frombuffer(r[name], kind) for r in two])
+            want = np.concatenate([_from_six(r["a"]) for r in two])
+            near = np.minimum(np.searchsorted(hist, want), len(hist) - 1)
+            value = np.where(hist[near] == want, alpha[near], 0.0) * read("d", "<u4")
+            block, doc = read("b", "<i8"), read("c", "<u2")
+            # One row per block, whichever buckets its bigrams come from.
+            order = np.lexsort((doc, block))
+            first = _runs(block[order], doc[order])
+            value, block, doc = np.add.reduceat(value[order], first), block[order][first], doc[order][first]
+            edge = _runs(block)
+            for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(block)]):
+                out["key"].append(int(block[a]))
+                out["a"].append(doc[a:b].tobytes())
+                out["d"].append(value[a:b].astype("<f8").tobytes())
         return pa.table([pa.array(out["key"], pa.int64()), *(pa.array(out[c], pa.binary()) for c in "ad")], names=["key", "a", "d"])
 
     chosen = sums.where("kind > 0").select("kind", "key", "a", "b", "c", "d")
@@ -459,6 +471,18 @@ def collect_documents(about: DataFrame, sums: DataFrame, backoff: DataFrame, mod
     return parts.unionByName(known).groupBy("key").applyInArrow(add, schema)
 
 
+@contextmanager
+def buckets_one_by_one(spark: SparkSession) -> Iterator[None]:
+    """Inside the block a task gets the rows it maps in batches of one: a bucket is megabytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, GROUP_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def score_documents(docs: DataFrame, held_out, buckets: int | None = None, keep_table: bool = False) -> DataFrame:
     """Scores of all documents by the model of those for which the condition ``held_out`` is false.
 
@@ -477,18 +501,25 @@ def score_documents(docs: DataFrame, held_out, buckets: int | None = None, keep_
         lists = {"ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int64())}
         fields = [pa.array([group.column("bucket")[0].as_py()]), pa.array([group.column("block")[0].as_py()])]
         inner = [n for n in group.schema.names[1:8]]
-        blocks = None if own else group.select(inner).to_pylist()
-        kind = pa.list_(pa.struct([("block", pa.int64()), *((n, pa.binary()) for n in inner[1:])]))
         values = [pa.array([group.column(n)[0].as_py()] if own else [None], t) for n, t in lists.items()]
-        return pa.table([*fields, pa.array([blocks], kind), *values], names=["bucket", "block", "blocks", *lists])
+        if own:
+            kind = pa.list_(pa.struct([("block", pa.int64()), *((n, pa.binary()) for n in inner[1:])]))
+            blocks = pa.nulls(1, kind)
+        else:
+            rows = pa.StructArray.from_arrays([pa.concat_arrays(group.column(n).chunks) for n in inner], names=inner)
+            blocks = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
+        return pa.table([*fields, blocks, *values], names=["bucket", "block", "blocks", *lists])
 
     schema = TABLE.replace("bucket long,", "bucket long, block long,") + ", ids array<long>, held array<boolean>, sizes array<long>"
-    table = materialize(exchanged.groupBy("bucket").applyInArrow(store, schema), "ngram-table")
+    # A row is megabytes: writers and readers hold a row group, which is to be a few rows and not a whole file.
+    few = {"parquet.block.row.count.limit": GROUP_ROWS}
+    table = materialize(exchanged.groupBy("bucket").applyInArrow(store, schema), "ngram-table", **few)
     about = materialize(table.where("bucket < 0").select("block", "ids", "held", "sizes"), "ngram-documents")
     release_shuffles(spark)
     grams = table.where("bucket >= 0").select("blocks")
-    model = fit(grams)
-    sums = materialize(evaluate(grams, model, partitions), "ngram-sums")
+    with buckets_one_by_one(spark):
+        model = fit(grams)
+        sums = materialize(evaluate(grams, model, partitions), "ngram-sums")
     if not keep_table:
         drop_written(table)
     return collect_documents(about, sums, back_off(sums), model)

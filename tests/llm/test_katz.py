@@ -7,6 +7,7 @@ from conftest_llm import words
 from pyspark.sql import functions as F
 
 from depotlens.llm import katz, queries
+from depotlens.session import materialize
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -87,3 +88,48 @@ def test_nothing_to_train_on(spark, nothing):
     rows = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     (only,) = katz.score_documents(rows, F.lit(True)).collect()
     assert (only["n_tokens"], only["n_known"], only["train_tokens"], only["base_score"], only["score"]) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_a_bucket_is_a_row_group_and_a_batch_of_its_own(spark, sf_dir, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    paths, batches = [], []
+
+    def noted(df, name, **options):
+        written = materialize(df, name, **options)
+        if name == "ngram-table":
+            paths.extend(f.removeprefix("file:") for f in written.inputFiles())
+        return written
+
+    def fitted(table):
+        batches.append(table.sparkSession.conf.get(key))
+        return fit(table)
+
+    key, fit = "spark.sql.execution.arrow.maxRecordsPerBatch", katz.fit
+    before = spark.conf.get(key)
+    monkeypatch.setattr(katz, "materialize", noted)
+    monkeypatch.setattr(katz, "fit", fitted)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    katz.score_documents(docs, F.lit(False), keep_table=True)
+    files = [pq.ParquetFile(p).metadata for path in paths for p in glob.glob(path)]
+    assert max(m.num_rows for m in files) > 1
+    assert all(m.row_group(i).num_rows == 1 for m in files for i in range(m.num_row_groups))
+    assert batches == ["1"] and spark.conf.get(key) == before
+
+
+def test_backoff_gives_one_row_per_part_and_block(spark):
+    def row(kind, *data):
+        return (kind, 0, *map(bytearray, data), *[None] * (4 - len(data)))
+
+    import numpy as np
+
+    six, number = (lambda *v: katz._six(np.array(v, dtype=np.uint64))), (lambda kind, *v: np.array(v, kind).tobytes())
+    rows = [row(1, six(5, 9), number("<f8", 10.0, 100.0), number("<f8", 0.9, 0.0))] + [
+        row(2, six(5, 9, 7), number("<i8", 3, 3, 4), number("<u2", 1, 0, 2), number("<u4", 1, 2, 1)) for _ in range(20)
+    ]
+    sums = spark.createDataFrame(rows, "kind int, key long, a binary, b binary, c binary, d binary")
+    found = {r["key"]: (np.frombuffer(r["a"], "<u2").tolist(), np.frombuffer(r["d"], "<f8").tolist()) for r in katz.back_off(sums).collect()}
+    assert katz.back_off(sums).count() == 2
+    assert found == {3: ([0, 1], pytest.approx([80.0, 40.0])), 4: ([2], [0.0])}
