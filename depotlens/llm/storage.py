@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of finished steps now; it does so when the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark remove the shuffle files of finished steps now; it does so when the driver collects garbage.
+
+    Listeners may still hold the last step the first time.
+    """
+    for pause in (0.5, 0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
 
 
 def drop_written(df: DataFrame) -> None:

@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from conftest_llm import words
 from pyspark.sql import functions as F
@@ -133,3 +134,69 @@ def test_backoff_gives_one_row_per_part_and_block(spark):
     found = {r["key"]: (np.frombuffer(r["a"], "<u2").tolist(), np.frombuffer(r["d"], "<f8").tolist()) for r in katz.back_off(sums).collect()}
     assert katz.back_off(sums).count() == 2
     assert found == {3: ([0, 1], pytest.approx([80.0, 40.0])), 4: ([2], [0.0])}
+
+
+def decoded(rows):
+    """(cell, word, history) of the bigrams of stored or exchanged rows."""
+    found = []
+    for r in rows:
+        of, spread = np.frombuffer(r["words"], "<u8"), np.frombuffer(r["spread"], "<u4")
+        found += [(r["cell"], w, h) for w, h in zip(np.repeat(of, spread).tolist(), katz._from_six(r["hists"]).tolist())]
+    return found
+
+
+@pytest.fixture
+def one_frequent_word(spark):
+    """Documents in which one word stands between words that are all different, some of them held out."""
+    texts = [" ".join(f"a{i}x{j} so" for j in range(20)) for i in range(40)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_stored_rows_are_pieces_of_counts_without_places(spark, one_frequent_word):
+    docs = one_frequent_word.select("doc_id", F.lit(False).alias("held"), "text")
+    table = katz.add_counts(katz.count_blocks(docs.unionByName(docs), katz.Cells(3)), piece=7)
+    rows = table.collect()
+    bigrams = decoded(rows)
+    assert set(table.columns) == {"cell", "continued", "words", "totals", "spread", "hists", "times"}
+    assert max(len(r["hists"]) // 6 for r in rows) == 7 and any(r["continued"] for r in rows)
+    assert len(bigrams) == len(set(bigrams)) == 40 * 20 * 2 + 1
+    assert sum(np.frombuffer(r["times"], "<u8").sum() for r in rows) == 2 * 40 * 41
+    assert katz.fit(table) == katz.fit(katz.add_counts(katz.count_blocks(docs.unionByName(docs), katz.Cells(5))))
+    (of,), (total,) = katz.frequent_words(table, 81)
+    assert total == 2 * 40 * 20 and any(of in np.frombuffer(r["words"], "<u8") for r in rows)
+
+
+@pytest.mark.parametrize("held", ["false", "doc_id % 3 = 1"])
+def test_a_frequent_words_bigrams_are_spread_over_cells(spark, one_frequent_word, monkeypatch, held):
+    exchanged, evaluate, add_counts, back_off = [], katz.evaluate, katz.add_counts, katz.back_off
+
+    def noted(rows, model, frequent, parts):
+        exchanged.extend(rows.where("ids is null").select("cell", "block", "words", "spread", "hists").collect())
+        assert len(frequent[0]) == 1
+        word.append(int(frequent[0][0]))
+        return evaluate(rows, model, frequent, parts, most=0)
+
+    word = []
+    monkeypatch.setattr(katz, "evaluate", noted)
+    monkeypatch.setattr(katz, "add_counts", lambda counted: add_counts(counted, piece=7))
+    monkeypatch.setattr(katz, "back_off", lambda sums: back_off(sums, most=0))
+    got = katz.score_documents(one_frequent_word, F.expr(held), buckets=30).collect()
+    for kind in (lambda block: block == katz.COUNTS, lambda block: block >= 0):
+        cells = Counter(cell for cell, w, _ in decoded(r for r in exchanged if kind(r["block"])) if w == word[0])
+        assert len(cells) > 20 and max(cells.values()) < sum(cells.values()) / 5
+    rows = one_frequent_word.collect()
+    out = [r["held_out"] for r in sorted(got, key=lambda r: r["doc_id"])]
+    want = dict(zip((r["doc_id"] for r in rows), brute([r["text"] for r in rows], out)))
+    assert len(got) == len(want)
+    for r in got:
+        same(r, want[r["doc_id"]])
+
+
+def test_sums_hold_distinct_keys_only():
+    total = katz.Sum()
+    total.limit = 4
+    for _ in range(2 * katz.PIECE):
+        total.add([np.array([5, 3], dtype=np.uint64)], np.array([1, 2]))
+        assert total.size <= 4 * katz.PIECE + 2
+    (keys,), counts = total.result()
+    assert (keys.tolist(), counts.tolist()) == ([3, 5], [4 * katz.PIECE, 2 * katz.PIECE])
