@@ -149,7 +149,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     both = left.select("node", "i", "l", F.posexplode("_right").alias("j", "r"))
     tables = both.select(F.xxhash64("i", "l", "j", "r").alias("key"), "node")
     shared = tables.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    members = tables.join(shared, "key").join(classes.select("node", "size"), "node")
+    # Spark sizes the exploded tables like the classes and would broadcast all of them up to some 100 MB of classes.
+    members = tables.join(shared.hint("merge"), "key").join(classes.select("node", "size"), "node")
     members = materialize(members.withColumn("rank", F.xxhash64("node")), "members")
 
     # Full sets of the texts that share a bucket, each made once.

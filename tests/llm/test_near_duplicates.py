@@ -47,6 +47,32 @@ def compare(df, rows, size):
     return found
 
 
+def broadcast_explodes(df):
+    """The parts of a frame's plan that are broadcast although they explode rows: Spark sizes them like the rows before."""
+
+    def walk(node):
+        if node.nodeName() in ("BroadcastHashJoin", "BroadcastNestedLoopJoin"):
+            build = node.left() if node.buildSide().toString() == "BuildLeft" else node.right()
+            if "Generate " in build.toString():
+                yield build.toString()
+        for i in range(node.children().size()):
+            yield from walk(node.children().apply(i))
+
+    return list(walk(df._jdf.queryExecution().sparkPlan()))
+
+
+def watch_broadcasts(monkeypatch):
+    """The names of what is written from now on, and the exploded rows broadcast for it."""
+    seen, write = {}, module.materialize
+
+    def watched(df, name, **options):
+        seen.setdefault(name, []).extend(broadcast_explodes(df))
+        return write(df, name, **options)
+
+    monkeypatch.setattr(module, "materialize", watched)
+    return seen
+
+
 def test_chains_copies_and_clusters(spark):
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(500)]

@@ -3,6 +3,7 @@ import zlib
 import corpus_pipeline
 import pytest
 from conftest_llm import words
+from test_near_duplicates import broadcast_explodes, watch_broadcasts
 from test_near_duplicates import brute as near_brute
 from test_substrings import brute as window_brute
 from tokenizers import Tokenizer
@@ -72,3 +73,14 @@ def test_one_row_of_each_group_of_near_duplicates_goes_through(spark):
     cut = corpus_pipeline.drop_repeated_passages(spark, single, "").collect()
     assert sorted(len(words(r["text"])) for r in cut if r["text"])[:6] in ([60] * 6, [60] * 5 + [61])
     assert corpus_pipeline.drop_near_duplicates(spark, docs.where("false"), "").count() == 0
+
+
+def test_near_duplicates_broadcast_no_exploded_rows(spark, monkeypatch):
+    """Spark sizes exploded rows like the rows before: band keys broadcast by that outgrew the driver over 0.5 GB."""
+    text = lambda i: " ".join(f"w{i % 10}x{k}" for k in range(60 - i // 10))
+    rows = [(i, text(i), "en", "src", len(text(i))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    seen = watch_broadcasts(monkeypatch)
+    single = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert seen["members"] == [] and not any(seen.values()) and broadcast_explodes(single) == []
+    assert sorted(r["doc_id"] for r in single.collect()) == list(range(10))
